@@ -1,0 +1 @@
+"""Left empty on purpose: every load and every query here is a one-shot batch job."""
