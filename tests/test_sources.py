@@ -1,0 +1,124 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from plans import plan_of
+from rows import stage_rows, tickets
+
+from ticketlens.functions.dates import MONTH
+from ticketlens.operators import model
+from ticketlens.plans import analysis, reports
+from ticketlens.schema import CLEAN_SCHEMA, STAGE_COLUMNS, TICKET_COLUMNS
+from ticketlens.sources import shared, staging
+
+
+def test_stage_keeps_null_and_empty_apart(spark, tmp_path):
+    header = ",".join(STAGE_COLUMNS)
+    line = 'TKT1,,"", North ,"a, ""b""",Chat,Billing,2025-01-01 00:00:00,1.0,2.0,4.0'
+    (tmp_path / "export.csv").write_text(f"{header}\n{line}\n")
+    row = staging.load_stage(spark, str(tmp_path / "export.csv")).first()
+    assert tuple(row)[:5] == ("TKT1", None, "", " North ", 'a, "b"')
+    assert all(t == "string" for _, t in staging.load_stage(spark, str(tmp_path)).dtypes)
+
+
+def test_stage_round_trip(spark, tmp_path):
+    stage = stage_rows(
+        spark, {"agent_id": None, "category": "  ", "agent_name": ' x, "y" '}, {"csat_score": ""}
+    )
+    staging.write_csv(stage, str(tmp_path / "out"))
+    back = staging.load_stage(spark, str(tmp_path / "out"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, stage.collect()))
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    stage = stage_rows(spark, {"agent_name": "two\nlines"})
+    staging.write_csv(stage, str(tmp_path / "out"))
+    back = staging.load_stage(spark, str(tmp_path / "out"), multiline=True)
+    assert back.first()["agent_name"] == "two\nlines"
+
+
+def test_a_short_row_fails_the_load(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text(",".join(STAGE_COLUMNS) + "\nTKT1,CU1\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        staging.load_stage(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def test_clean_csv_round_trip(spark, tmp_path):
+    rows = tickets(spark, {}, {"customer_region": "south", "resolution_hours": "12.25"})
+    staging.write_csv(rows, str(tmp_path / "clean"))
+    text = "".join(p.read_text() for p in (tmp_path / "clean").glob("*.csv"))
+    assert "2025-01-05 10:00:00" in text
+    back = staging.load_clean(spark, str(tmp_path / "clean"))
+    assert [f.dataType for f in back.schema] == [f.dataType for f in CLEAN_SCHEMA]
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_null_becomes_an_empty_field(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None)], "a int, b string")
+    staging.write_csv(rows.coalesce(1), str(tmp_path / "n"))
+    text = "".join(p.read_text() for p in (tmp_path / "n").glob("*.csv"))
+    assert text == "a,b\n1,\n"
+
+
+def test_export_writes_every_report(spark, star, tmp_path):
+    named = {
+        "pivot_channel": reports.pivot_channel(star.tickets),
+        "monthly": analysis.monthly_volume(star.tickets),
+        "raw": star.stage.select(*STAGE_COLUMNS),
+    }
+    for fmt in ("parquet", "csv"):
+        reports.export(named, str(tmp_path / fmt), fmt)
+        reports.export(named, str(tmp_path / fmt), fmt)  # a rebuild replaces
+        reader = spark.read if fmt == "parquet" else spark.read.option("header", True)
+        for name, df in named.items():
+            back = getattr(reader, fmt)(str(tmp_path / fmt / name))
+            assert back.count() == df.count() and back.columns == df.columns
+
+
+def test_views_can_be_read_by_name(spark, star):
+    model.register_views(spark, star)
+    assert spark.table("tickets").columns == list(TICKET_COLUMNS)
+    assert spark.table("v_ticket_detail").columns == [
+        *TICKET_COLUMNS,
+        "customer_region",
+        "agent_name",
+        "resolution_bucket",
+    ]
+    joined = spark.sql("SELECT count(*) FROM tickets JOIN agents USING (agent_id)").first()[0]
+    assert joined == star.tickets.count()
+
+
+def test_tables_are_written_to_the_folder_of_the_session(spark, tmp_path):
+    assert shared.shared_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    tables = shared.SharedTables(spark, "demo")
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(5)
+
+    assert tables.table("t", build).count() == tables.table("t", build).count() == 5
+    assert built == [1]
+    assert spark.read.parquet(f"{tables.path}/t").count() == 5
+
+
+def test_partitioned_table_prunes_by_month(spark, tmp_path):
+    rows = model.with_month(
+        tickets(
+            spark,
+            {"created_at": "2025-01-05 10:00:00"},
+            {"created_at": "2025-02-05 10:00:00"},
+            {"created_at": "2025-02-06 10:00:00"},
+        )
+    )
+    path = str(tmp_path / "fact")
+    shared.write_table(rows, path, MONTH)
+    assert sorted(p.name for p in (tmp_path / "fact").glob("*=*")) == [
+        f"{MONTH}=2025-01-01",
+        f"{MONTH}=2025-02-01",
+    ]
+    back = shared.read_table(spark, path, rows)
+    feb = back.where(F.col(MONTH) == F.lit("2025-02-01").cast("date"))
+    assert feb.count() == 2
+    assert "PartitionFilters: [isnotnull(created_month" in plan_of(feb)
+    assert back.agg(F.min("created_at")).first()[0] == datetime(2025, 1, 5, 10)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import pinned
 
+# Rows of a few dozen bytes: ordering this many is well within one task.
+ONE_TASK_ROWS = 100_000
+
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     """Tile of a 1-based position when ``rows`` rows are dealt to ``tiles`` tiles.
@@ -32,20 +35,40 @@ def rank_entities(
     tiebreak: tuple[str, ...],
     tiles: int = 4,
     names: tuple[str, str, str] = ("rank", "dense_rank", "tile"),
+    at_most: int | None = None,
 ) -> DataFrame:
     """Rank rows by descending score; tiles are dealt in the order of score, then ``tiebreak``.
 
-    The rows are range-partitioned by score and tie-break, so many equal scores spread over several
-    tasks, and written once so that every later step sees the same split. Each slice is ranked by
-    itself; one summary row per slice then tells how many rows and scores precede it, and where the
-    score it starts with began. The score must not be NULL and the tie-break must be unique.
+    The score must not be NULL and the tie-break must be unique. ``at_most`` is a proven bound on the
+    number of rows, such as the size of the dimension they were joined to: a small one lets a single
+    task order them. Without it, or beyond that size, the rows are ranked in slices.
     """
     order = [F.col(score).desc(), *[F.col(c).asc() for c in tiebreak]]
+    if at_most is not None and at_most <= ONE_TASK_ROWS:
+        ranks = _ranks_in_one_task(order, tiles)
+        rows = df
+    else:
+        rows, ranks = _ranks_in_slices(df, score, order, tiles)
+    named = [c.cast("bigint").alias(n) for c, n in zip(ranks, names, strict=True)]
+    return rows.select(*df.columns, *named)
+
+
+def _ranks_in_one_task(order: list[Column], tiles: int) -> tuple[Column, Column, Column]:
+    by_score, by_all = Window.orderBy(order[0]), Window.orderBy(*order)
+    return F.rank().over(by_score), F.dense_rank().over(by_score), F.ntile(tiles).over(by_all)
+
+
+def _ranks_in_slices(df: DataFrame, score: str, order: list[Column], tiles: int):
+    """Range-partition the rows by score and tie-break, rank every slice, and add offsets.
+
+    With the tie-break in the range, many equal scores spread over several slices. The rows are
+    written once so that every later step sees the same split. One summary row per slice then tells
+    how many rows and scores precede it, and where the score it starts with began.
+    """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = pinned(
         df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "ranks"
     )
-
     here = Window.partitionBy("_slice")
     local = placed.select(
         "*",
@@ -53,17 +76,14 @@ def rank_entities(
         F.rank().over(here.orderBy(order[0])).alias("_rank"),
         F.dense_rank().over(here.orderBy(order[0])).alias("_dense"),
     )
-    offsets = _slice_offsets(local, score)
-
     # One row per slice, and the number of slices is a setting: safe to broadcast at any size.
-    joined = local.join(F.broadcast(offsets), "_slice")
+    rows = local.join(F.broadcast(_slice_offsets(local, score)), "_slice")
     rank = F.when(F.col(score) == F.col("_first"), F.col("_first_rank")).otherwise(
         F.col("_rows_before") + F.col("_rank")
     )
     dense = F.col("_scores_before") + F.col("_dense")
     tile = tile_of(F.col("_rows_before") + F.col("_row"), F.col("_all_rows"), tiles)
-    ranks = [c.cast("bigint").alias(n) for c, n in zip((rank, dense, tile), names, strict=True)]
-    return joined.select(*df.columns, *ranks)
+    return rows, (rank, dense, tile)
 
 
 def _slice_offsets(local: DataFrame, score: str) -> DataFrame:

@@ -98,7 +98,8 @@ def calendar_monthly(tickets: DataFrame, calendar: DataFrame | None = None) -> D
 def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
     """Every agent with averages, rank and quartile by unrounded satisfaction.
 
-    Tickets are folded by agent before the names are joined, so a busy agent is one row there.
+    Tickets are folded by agent before the names are joined, so a busy agent is one row there. The
+    size of the dimension bounds the number of rows to rank.
     """
     stats = grouped(tickets, "agent_id").join(agents, "agent_id")
     scored = stats.select(
@@ -111,7 +112,7 @@ def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
         exact_ratio(F.col("sum_csat"), F.col("tickets")).alias("score"),
     )
     names = ("csat_rank", "csat_dense_rank", "csat_quartile")
-    ranked = rank_entities(scored, "score", ("agent_id",), 4, names)
+    ranked = rank_entities(scored, "score", ("agent_id",), 4, names, at_most=agents.count())
     return ranked.drop("score", "csat_dense_rank")
 
 
