@@ -125,7 +125,9 @@ def skewed_stage(spark):
 
 
 def test_hot_keys_are_split_in_joins(spark, skewed_stage, small_limits):
-    clean = cleaning.clean_tickets(skewed_stage)
+    path = entry.scratch_path(spark, "hot")
+    cleaning.clean_tickets(skewed_stage).repartition(12).write.parquet(path)
+    clean = spark.read.parquet(path)
     customers, agents = model.customers(clean), model.agents(clean)
     joined = model.detail(model.tickets(clean), customers, agents, ("customer_region",))
     assert "SortMergeJoin(skew=true)" in executed_plan(joined)

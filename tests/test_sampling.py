@@ -24,15 +24,16 @@ def unit(key, seed=42):
 def test_exact_sample_is_the_n_smallest(star, n):
     every = [r["ticket_id"] for r in keyed(star).collect()]
     expected = set(sorted(every, key=unit)[:n])
-    for direct in (sampling.DIRECT_LIMIT, 10):
-        got = sampling.exact_sample(keyed(star), "ticket_id", n, 42, direct)
+    for limits in ((5000, 5000), (10, 5000), (10, 10)):
+        got = sampling.exact_sample(keyed(star), "ticket_id", n, 42, *limits)
         assert got.count() == n and ids(got) == expected
 
 
 def test_sample_larger_than_the_table_is_the_table(star):
     rows = keyed(star)
-    for direct in (sampling.DIRECT_LIMIT, 10):
-        assert sampling.exact_sample(rows, "ticket_id", rows.count() + 5, 1, direct).count() == rows.count()
+    for limits in ((10_000, 10_000), (10, 10)):
+        got = sampling.exact_sample(rows, "ticket_id", rows.count() + 5, 1, *limits)
+        assert got.count() == rows.count()
 
 
 def test_sample_does_not_depend_on_partitioning(star):
@@ -52,8 +53,8 @@ def test_weighted_sample(star):
     draws = sorted(every, key=lambda r: -math.log(unit(r["ticket_id"])) / size(r))
     for n in (100, 3000):
         expected = {r["ticket_id"] for r in draws[:n]}
-        for direct in (sampling.DIRECT_LIMIT, 10):
-            got = sampling.weighted_sample(keyed(star), "ticket_id", weight, n, 42, direct)
+        for limits in ((5000, 5000), (10, 10)):
+            got = sampling.weighted_sample(keyed(star), "ticket_id", weight, n, 42, *limits)
             assert ids(got) == expected
     assert got.where("channel = 'LOW'").isEmpty()
 

@@ -60,6 +60,14 @@ def test_null_becomes_an_empty_field(spark, tmp_path):
     assert text == "a,b\n1,\n"
 
 
+def test_export_can_be_sorted(spark, tmp_path):
+    rows = spark.createDataFrame([(3,), (1,), (2,)], "a int").coalesce(1)
+    staging.write_csv(rows, str(tmp_path / "s"), sort=["a"])
+    assert [r["a"] for r in spark.read.option("header", True).csv(str(tmp_path / "s")).collect()] == list(
+        "123"
+    )
+
+
 def test_export_writes_every_report(spark, star, tmp_path):
     named = {
         "pivot_channel": reports.pivot_channel(star.tickets),

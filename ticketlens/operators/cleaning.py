@@ -6,6 +6,9 @@ ticket whose first copy is incomplete is lost even if a later copy is complete.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,31 +92,32 @@ def outside(value: Column, allowed: Range) -> Column:
     return bad
 
 
-def _problem_list(values: dict[str, Column], rules: Rules) -> Column:
-    found = []
+def _rule_tests(rules: Rules) -> dict[str, Column]:
+    """For every rule, when a staged row breaks it. A test may be NULL, which is no breach."""
+    values = typed_columns()
+    tests: dict[str, Column] = {}
     for c in STAGE_COLUMNS:
         if c not in rules.required and c != "ticket_id":
-            found.append(F.when(is_blank(c), f"{c}: blank"))
+            tests[f"{c}: blank"] = is_blank(c)
         if c in CAST_COLUMNS:
-            found.append(F.when(~is_blank(c) & values[c].isNull(), f"{c}: cast"))
+            tests[f"{c}: cast"] = ~is_blank(c) & values[c].isNull()
         if c in rules.domains:
-            found.append(F.when(~values[c].isin(*rules.domains[c]), f"{c}: domain"))
+            tests[f"{c}: domain"] = ~values[c].isin(*rules.domains[c])
         if c in rules.ranges:
-            found.append(F.when(outside(values[c], rules.ranges[c]), f"{c}: range"))
+            tests[f"{c}: range"] = outside(values[c], rules.ranges[c])
         if c in rules.max_lengths:
-            found.append(F.when(F.length(values[c]) > rules.max_lengths[c], f"{c}: length"))
-    return F.array_compact(F.array(*found))
+            tests[f"{c}: length"] = F.length(values[c]) > rules.max_lengths[c]
+    return tests
 
 
-def _judged(stage: DataFrame, rules: Rules, tiebreak) -> DataFrame:
-    """First copies that are complete, with the list of rules each one breaks."""
-    complete = dedupe_tickets(stage, tiebreak).where(none_blank(rules.required))
-    return complete.withColumn(PROBLEMS, _problem_list(typed_columns(), rules))
+def _complete_copies(stage: DataFrame, rules: Rules, tiebreak) -> DataFrame:
+    return dedupe_tickets(stage, tiebreak).where(none_blank(rules.required))
 
 
 def clean_tickets(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:
     """Typed tickets: unique, complete and within the rules."""
-    return typed(_judged(stage, rules, tiebreak).where(F.size(PROBLEMS) == 0))
+    sound = reduce(and_, [~F.coalesce(t, F.lit(False)) for t in _rule_tests(rules).values()])
+    return typed(_complete_copies(stage, rules, tiebreak).where(sound))
 
 
 def quarantine(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:
@@ -125,7 +129,12 @@ def quarantine(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFra
     unnamed = stage.where(is_blank("ticket_id")).withColumn(
         PROBLEMS, F.array(F.lit("ticket_id: blank"))
     )
-    broken = _judged(stage, rules, tiebreak).where(F.size(PROBLEMS) > 0)
+    reasons = [F.when(test, name) for name, test in _rule_tests(rules).items()]
+    broken = (
+        _complete_copies(stage, rules, tiebreak)
+        .withColumn(PROBLEMS, F.array_compact(F.array(*reasons)))
+        .where(F.size(PROBLEMS) > 0)
+    )
     held = unnamed.unionByName(broken)
     return held.select(*STAGE_COLUMNS, F.concat_ws("; ", PROBLEMS).alias(PROBLEMS))
 

@@ -10,8 +10,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many rows a plain ordered limit is used: each task keeps that many at most.
-DIRECT_LIMIT = 100_000
+# Up to this many rows a plain ordered limit is used: every task hands that many to the last one.
+DIRECT_LIMIT = 1_000
+# Rows that may be left to order in one place after the cut of a larger sample.
+EDGE_ROWS = 100_000
 _BUCKETS = 4096
 _MAX_ROUNDS = 6
 
@@ -26,7 +28,7 @@ def hash_unit(key: str, seed: int) -> Column:
     return (bits + 1).cast("double") / F.lit(float(2**52))
 
 
-def _edge_interval(rows: DataFrame, n: int, direct: int) -> tuple[float, float, int]:
+def _edge_interval(rows: DataFrame, n: int, edge_rows: int) -> tuple[float, float, int]:
     """An interval of draws that holds the n-th smallest, and how many rows lie below it.
 
     Every round counts the rows of equal-width intervals and goes on inside the one with the n-th
@@ -39,7 +41,7 @@ def _edge_interval(rows: DataFrame, n: int, direct: int) -> tuple[float, float,
     ]
     found, below = rows.agg(*size).first(), 0
     for _ in range(_MAX_ROUNDS):
-        if found["n"] <= direct or below + found["n"] <= n:
+        if found["n"] <= edge_rows or below + found["n"] <= n:
             break
         width = (found["top"] - found["bottom"]) / _BUCKETS
         if width == 0:
@@ -53,7 +55,9 @@ def _edge_interval(rows: DataFrame, n: int, direct: int) -> tuple[float, float,
     return found["bottom"], found["top"], below
 
 
-def _smallest(df: DataFrame, draw: Column, key: str, n: int, direct: int) -> DataFrame:
+def _smallest(
+    df: DataFrame, draw: Column, key: str, n: int, direct: int, edge_rows: int
+) -> DataFrame:
     """The ``n`` rows with the smallest draw, equal draws ordered by key.
 
     For a large ``n`` everything below a small interval is taken as it is, and only the rows inside
@@ -62,18 +66,31 @@ def _smallest(df: DataFrame, draw: Column, key: str, n: int, direct: int) -> Dat
     rows = df.withColumn("_draw", draw)
     if n <= direct:
         return rows.orderBy("_draw", key).limit(n).drop("_draw")
-    bottom, top, below = _edge_interval(rows, n, direct)
+    bottom, top, below = _edge_interval(rows, n, edge_rows)
     edge = rows.where(F.col("_draw").between(bottom, top)).orderBy("_draw", key).limit(n - below)
     return rows.where(F.col("_draw") < bottom).unionByName(edge).drop("_draw")
 
 
-def exact_sample(df: DataFrame, key: str, n: int, seed: int, direct: int = DIRECT_LIMIT) -> DataFrame:
+def exact_sample(
+    df: DataFrame,
+    key: str,
+    n: int,
+    seed: int,
+    direct: int = DIRECT_LIMIT,
+    edge_rows: int = EDGE_ROWS,
+) -> DataFrame:
     """``n`` rows drawn without replacement, all with the same chance. The key must be unique."""
-    return _smallest(df, hash_unit(key, seed), key, n, direct)
+    return _smallest(df, hash_unit(key, seed), key, n, direct, edge_rows)
 
 
 def weighted_sample(
-    df: DataFrame, key: str, weight: Column, n: int, seed: int, direct: int = DIRECT_LIMIT
+    df: DataFrame,
+    key: str,
+    weight: Column,
+    n: int,
+    seed: int,
+    direct: int = DIRECT_LIMIT,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
     """``n`` rows drawn one after another without replacement, with chances given by the weight.
 
@@ -82,7 +99,7 @@ def weighted_sample(
     """
     able = df.withColumn("_weight", weight.cast("double")).where("_weight > 0")
     draw = -F.ln(hash_unit(key, seed)) / F.col("_weight")
-    return _smallest(able, draw, key, n, direct).drop("_weight")
+    return _smallest(able, draw, key, n, direct, edge_rows).drop("_weight")
 
 
 def nested_weight(factors: Mapping[str, Mapping[str, float]]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,10 +38,14 @@ def load_clean(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("timestampNTZFormat", EXPORT_TIMESTAMP_FORMAT).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV with a header; NULL becomes an empty field, times have a fixed format."""
+def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
+    """Write CSV with a header; NULL becomes an empty field, times have a fixed format.
+
+    ``sort`` orders the rows within every file.
+    """
+    rows = df.sortWithinPartitions(*sort) if sort else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("header", True)
         .option("nullValue", "")
         .option("escape", '"')
