@@ -43,6 +43,13 @@ def test_questions_read_their_columns_once(star):
         ), question.__name__
 
 
+@pytest.mark.parametrize(
+    "report", [reports.pivot_channel, reports.pivot_category, reports.pivot_resolution, reports.insights]
+)
+def test_summaries_scan_once(star, report):
+    assert plan_of(report(star.tickets), "simple").count("FileScan") == 1
+
+
 def test_region_question_folds_before_it_joins(star):
     plan = plan_of(analysis.regional_csat(star.tickets, star.customers), "simple")
     assert len(re.findall(r"FileScan", plan)) == 2

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from ticketlens.operators import ranking
 
 
+@pytest.fixture(autouse=True, scope="module")
+def eight_slices(spark):
+    """Keep small slices apart, which adaptive execution would join."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def entities(spark, scores):
     rows = [(f"E{i:05d}", s) for i, s in enumerate(scores)]
     random.Random(1).shuffle(rows)
@@ -46,6 +54,16 @@ def test_slices_equal_plain_windows(spark, name, scores):
     assert ranks(ranking.rank_entities(df, "score", ("id",), at_most=len(scores))) == expected
 
 
+def test_joined_slices_give_the_same(spark):
+    df = entities(spark, [float(i % 90) for i in range(3000)])
+    apart = ranks(ranking.rank_entities(df, "score", ("id",)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    try:
+        assert ranks(ranking.rank_entities(df, "score", ("id",))) == apart
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
 def test_equal_scores_are_spread_over_slices(spark):
     """A score held by every row must not end up in one task."""
     df = entities(spark, [3.0] * 4000)

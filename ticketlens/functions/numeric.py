@@ -6,7 +6,7 @@ wrong on ties. These helpers round once, by whole-number arithmetic on the sum a
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 _WHOLE = "decimal(38,0)"
@@ -56,3 +56,8 @@ def fixed_text(num: Column, den: Column, digits: int) -> Column:
 def clipped(value: Column, low, high) -> Column:
     """The value moved into ``[low, high]``; NULL stays NULL."""
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+
+
+def over_groups(c: Column) -> Column:
+    """An aggregate over all rows, given back on every row: for a few groups, never for tickets."""
+    return c.over(Window.partitionBy())

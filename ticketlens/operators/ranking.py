@@ -62,13 +62,12 @@ def _ranks_in_slices(df: DataFrame, score: str, order: list[Column], tiles: int)
     """Range-partition the rows by score and tie-break, rank every slice, and add offsets.
 
     With the tie-break in the range, many equal scores spread over several slices. The rows are
-    written once so that every later step sees the same split. One summary row per slice then tells
-    how many rows and scores precede it, and where the score it starts with began.
+    written once so that every later step sees the same split; adaptive execution joins small
+    neighbouring ranges. One summary row per slice then tells how many rows and scores precede it,
+    and where the score it starts with began.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = pinned(
-        df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "ranks"
-    )
+    ranged = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    placed = pinned(ranged, "ranks")
     here = Window.partitionBy("_slice")
     local = placed.select(
         "*",
@@ -76,7 +75,7 @@ def _ranks_in_slices(df: DataFrame, score: str, order: list[Column], tiles: int)
         F.rank().over(here.orderBy(order[0])).alias("_rank"),
         F.dense_rank().over(here.orderBy(order[0])).alias("_dense"),
     )
-    # One row per slice, and the number of slices is a setting: safe to broadcast at any size.
+    # One row per slice, at most as many as there are shuffle partitions: safe to broadcast.
     rows = local.join(F.broadcast(_slice_offsets(local, score)), "_slice")
     rank = F.when(F.col(score) == F.col("_first"), F.col("_first_rank")).otherwise(
         F.col("_rows_before") + F.col("_rank")

@@ -7,22 +7,17 @@ whose number does not grow with the tickets; agents and customers are ranked in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
-from ..functions.numeric import exact_ratio, mean, percent, ratio
+from ..functions.numeric import exact_ratio, mean, over_groups, percent, ratio
 from ..operators.calendar import calendar_of
 from ..operators.measures import grouped, regrouped
 from ..operators.ranking import rank_entities
 from ..schema import THRESHOLD_HOURS
 
 
-def _overall(c: Column) -> Column:
-    """An aggregate over all groups, given back on every group."""
-    return c.over(Window.partitionBy())
-
-
 def _mean(total: str, count: str, digits: int):
     return mean(F.col(total), F.col(count), digits)
 
@@ -33,7 +28,7 @@ def channel_share(tickets: DataFrame) -> DataFrame:
     return groups.select(
         "channel",
         "tickets",
-        percent(F.col("tickets"), _overall(F.sum("tickets"))).alias("pct_of_tickets"),
+        percent(F.col("tickets"), over_groups(F.sum("tickets"))).alias("pct_of_tickets"),
         _mean("sum_csat", "tickets", 2).alias("avg_csat"),
         _mean("sum_minutes", "tickets", 1).alias("avg_first_response_min"),
     ).orderBy(F.desc_nulls_first("tickets"), "channel")
@@ -177,7 +172,7 @@ def regional_csat(tickets: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = grouped(tickets, "customer_id").join(known, "customer_id", "left")
     regions = regrouped(per_customer, "known", "customer_region")
     own = exact_ratio(F.col("sum_csat"), F.col("tickets"))
-    region_mean = _overall(F.avg(F.when(F.col("known"), own)))
+    region_mean = over_groups(F.avg(F.when(F.col("known"), own)))
     wide = "decimal(38,0)"
     n, all_n = F.col("tickets").cast(wide), F.col("all_tickets").cast(wide)
     gap = F.col("sum_csat").cast(wide) * all_n - F.col("all_csat").cast(wide) * n
@@ -187,8 +182,8 @@ def regional_csat(tickets: DataFrame, customers: DataFrame) -> DataFrame:
         "tickets",
         _mean("sum_csat", "tickets", 2).alias("region_csat"),
         F.round(region_mean, 2).cast("double").alias("avg_of_region_csat"),
-        _overall(F.sum("tickets")).alias("all_tickets"),
-        _overall(F.sum("sum_csat")).alias("all_csat"),
+        over_groups(F.sum("tickets")).alias("all_tickets"),
+        over_groups(F.sum("sum_csat")).alias("all_csat"),
         "sum_csat",
     ).where("known")
     return listed.select(

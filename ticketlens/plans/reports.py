@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, month_of
-from ..functions.numeric import fixed_text, plain_ratio
-from ..operators.measures import grouped, regrouped
+from ..functions.numeric import fixed_text, over_groups, plain_ratio
+from ..operators.measures import PART_NAMES, grouped
 from ..schema import CLEAN_SCHEMA, THRESHOLD_HOURS
 from ..sources.shared import write_table
 from ..sources.staging import write_csv
@@ -31,32 +31,35 @@ def pivot_channel(tickets: DataFrame) -> DataFrame:
 
     The roll-up runs over the channel groups, so the tickets are not expanded.
     """
-    groups = grouped(tickets, "channel")
-    rolled = groups.rollup("channel").agg(
-        F.sum("tickets").alias("tickets"),
-        F.sum("sum_csat").alias("sum_csat"),
-        F.sum("sum_minutes").alias("sum_minutes"),
-        F.grouping("channel").alias("is_total"),
+    rolled = (
+        grouped(tickets, "channel")
+        .rollup("channel")
+        .agg(
+            F.sum("tickets").alias("tickets"),
+            F.sum("sum_csat").alias("sum_csat"),
+            F.sum("sum_minutes").alias("sum_minutes"),
+            F.grouping("channel").alias("is_total"),
+        )
     )
-    total = groups.agg(F.sum("tickets")).scalar()
     part = F.col("is_total") == 0
-    return rolled.orderBy("is_total", F.asc_nulls_last("channel")).select(
+    all_tickets = over_groups(F.max(F.when(~part, F.col("tickets"))))
+    return rolled.select(
+        "is_total",
         F.when(part, F.col("channel")).otherwise(TOTAL_LABEL).alias("channel"),
         "tickets",
-        F.when(part, plain_ratio(F.col("tickets"), total)).alias("share"),
+        F.when(part, plain_ratio(F.col("tickets"), all_tickets)).alias("share"),
         F.when(part, _avg("sum_csat")).alias("avg_csat"),
         F.when(part, _avg("sum_minutes")).alias("avg_first_response_min"),
-    )
+    ).orderBy("is_total", F.asc_nulls_last("channel")).drop("is_total")
 
 
 def pivot_category(tickets: DataFrame) -> DataFrame:
     """Categories by falling volume."""
-    groups = grouped(tickets, "category")
-    total = groups.agg(F.sum("tickets")).scalar()
-    return groups.select(
+    all_tickets = over_groups(F.sum("tickets"))
+    return grouped(tickets, "category").select(
         "category",
         "tickets",
-        plain_ratio(F.col("tickets"), total).alias("share"),
+        plain_ratio(F.col("tickets"), all_tickets).alias("share"),
         _avg("sum_csat").alias("avg_csat"),
         _avg("sum_hours").alias("avg_resolution_hrs"),
     ).orderBy(F.desc_nulls_first("tickets"), "category")
@@ -114,27 +117,36 @@ def first_agent(tickets: DataFrame) -> Column:
 def insights(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
     """Three sentences on channel mix, slow resolution and where to act.
 
-    One pass folds the tickets by channel and category; all sentences come from these few groups.
+    One pass folds the tickets by channel and category. Those few groups are then added up both by
+    channel and by category, and all sentences come from these rows.
     """
     cells = grouped(tickets, "channel", "category", threshold=threshold)
-    channels = regrouped(cells, "channel").agg(
-        F.min(F.struct((-F.col("tickets")).alias("n"), "channel")).alias("top"),
-        F.min(F.struct((-_avg("sum_minutes")).alias("minutes"), "channel")).alias("slow"),
-        F.sum("tickets").alias("tickets"),
-        F.sum("fast_tickets").alias("fast_n"),
-        F.sum("fast_csat").alias("fast_s"),
-        F.sum("late_tickets").alias("late_n"),
-        F.sum("late_csat").alias("late_s"),
+    sums = cells.groupingSets([["channel"], ["category"]], "channel", "category").agg(
+        *[F.sum(n).alias(n) for n in PART_NAMES], F.grouping("channel").alias("by_category")
     )
     late_share = plain_ratio(F.col("late_tickets"), F.col("tickets"))
-    late_first = F.array_sort(F.collect_list(F.struct("share", "category")))
-    worst = (
-        regrouped(cells, "category")
-        .select((-late_share).alias("share"), "category")
-        .orderBy("share", "category")
-        .limit(2)
-        .agg(F.array_join(F.transform(late_first, lambda c: c["category"]), " and "))
-        .scalar()
+    latest = Window.partitionBy("by_category").orderBy(late_share.desc(), "category")
+    rows = sums.withColumn("place", F.row_number().over(latest))
+    channel, category = F.col("by_category") == 0, F.col("by_category") == 1
+
+    def least(*cells: Column) -> Column:
+        return F.min(F.when(channel, F.struct(*cells)))
+
+    def total(name: str) -> Column:
+        return F.sum(F.when(channel, F.col(name)))
+
+    facts = rows.agg(
+        least((-F.col("tickets")).alias("n"), F.col("channel")).alias("top"),
+        least((-_avg("sum_minutes")).alias("minutes"), F.col("channel")).alias("slow"),
+        total("tickets").alias("tickets"),
+        total("fast_tickets").alias("fast_n"),
+        total("fast_csat").alias("fast_s"),
+        total("late_tickets").alias("late_n"),
+        total("late_csat").alias("late_s"),
+        *[
+            F.max(F.when(category & (F.col("place") == i), F.col("category"))).alias(f"late_{i}")
+            for i in (1, 2)
+        ],
     )
 
     wide = "decimal(38,0)"
@@ -157,7 +169,7 @@ def insights(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
     )
     act = F.concat(
         F.lit("Speed up "),
-        worst,
+        F.concat_ws(" and ", "late_1", "late_2"),
         F.lit(f" tickets, which pass {threshold} hours most often, and "),
         F.col("slow.channel"),
         F.lit(", the channel slowest to respond."),
@@ -166,7 +178,7 @@ def insights(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
         F.struct(F.lit(i).alias("position"), text.alias("insight"))
         for i, text in enumerate((mix, slow, act), start=1)
     ]
-    return channels.select(F.inline(F.array(*lines))).where("insight IS NOT NULL").orderBy("position")
+    return facts.select(F.inline(F.array(*lines))).where("insight IS NOT NULL").orderBy("position")
 
 
 def data_dictionary(clean: DataFrame) -> DataFrame:
