@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
+from datetime import date
 
 import __spark_entry__ as entry
 import pytest
@@ -13,6 +14,7 @@ from rows import GOOD
 from ticketlens.operators import cleaning, measures, model, quality
 from ticketlens.plans import analysis, reports
 from ticketlens.schema import STAGE_COLUMNS
+from ticketlens.sources.shared import read_table, write_table
 
 
 def read_schemas(plan):
@@ -68,8 +70,6 @@ def test_scorecard_filter_reaches_the_scan(star):
 
 
 def test_month_slicer_prunes_partitions(star):
-    from datetime import date
-
     plan = plan_of(measures.evaluate(star.tickets, slicers={"month": [date(1997, 1, 1)]}))
     assert re.search(r"PartitionFilters: \[.*created_month", plan)
 
@@ -141,6 +141,15 @@ def test_hot_keys_are_split_in_joins(spark, skewed_stage, small_limits):
     assert joined.count() == clean.count()
 
 
+def test_a_hot_month_is_written_to_several_files(spark, small_limits):
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("v"), F.lit(date(2025, 1, 1)).alias("created_month")
+    )
+    path = entry.scratch_path(spark, "months")
+    write_table(rows, path, "created_month")
+    assert len(read_table(spark, path, rows).inputFiles()) > 4
+
+
 def test_results_hold_on_hot_keys(spark, skewed_stage):
     rows = [r.asDict() for r in skewed_stage.collect()]
     first = {}

@@ -20,7 +20,7 @@ from ..schema import (
 )
 from ..sources.shared import SharedTables
 from .cleaning import clean_tickets
-from .quality import check_dim_conflicts
+from .quality import check_unique
 
 
 def customers(clean: DataFrame) -> DataFrame:
@@ -114,15 +114,16 @@ def build_star(
     buyers = tables.table("customers", lambda: customers(cleaned))
     staff = tables.table("agents", lambda: agents(cleaned))
     if "checked" not in tables.notes:
-        _refuse_conflicts(buyers, CUSTOMER_COLUMNS)
-        _refuse_conflicts(staff, AGENT_COLUMNS)
+        _refuse_conflicts(buyers, staff)
         tables.notes.add("checked")
     return Star(staged, cleaned, buyers, staff, tickets(cleaned))
 
 
-def _refuse_conflicts(dimension: DataFrame, pair: tuple[str, str]) -> None:
-    if not check_dim_conflicts(dimension, [pair]).where("bad_rows > 0").isEmpty():
-        raise ValueError(f"{pair[0]} has more than one {pair[1]}")
+def _refuse_conflicts(customers: DataFrame, agents: DataFrame) -> None:
+    keys = {"customer_id": (customers, "customer_id"), "agent_id": (agents, "agent_id")}
+    bad = check_unique(keys).where("bad_rows > 0").select("column").collect()
+    if bad:
+        raise ValueError(f"more than one attribute value for a key: {sorted(r[0] for r in bad)}")
 
 
 def register_views(spark: SparkSession, star: Star) -> None:
