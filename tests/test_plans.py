@@ -14,7 +14,7 @@ from rows import GOOD
 from ticketlens.operators import cleaning, measures, model, quality
 from ticketlens.plans import analysis, reports
 from ticketlens.schema import STAGE_COLUMNS
-from ticketlens.sources.shared import read_table, write_table
+from ticketlens.sources.shared import read_table, scratch_path, write_table
 
 
 def read_schemas(plan):
@@ -126,13 +126,13 @@ def skewed_stage(spark):
     text["csat_score"] = (1 + i % 5).cast("string")
     text["created_at"] = F.concat(F.lit("2025-01-"), F.lpad((1 + i % 28).cast("string"), 2, "0"))
     rows = spark.range(0, 10000, 1, 12).select(*[text[c].alias(c) for c in STAGE_COLUMNS])
-    path = entry.scratch_path(spark, "skewed")
+    path = scratch_path(spark, "skewed")
     rows.write.parquet(path)
     return spark.read.parquet(path)
 
 
 def test_hot_keys_are_split_in_joins(spark, skewed_stage, small_limits):
-    path = entry.scratch_path(spark, "hot")
+    path = scratch_path(spark, "hot")
     cleaning.clean_tickets(skewed_stage).repartition(12).write.parquet(path)
     clean = spark.read.parquet(path)
     customers, agents = model.customers(clean), model.agents(clean)
@@ -145,7 +145,7 @@ def test_a_hot_month_is_written_to_several_files(spark, small_limits):
     rows = spark.range(0, 200_000, 1, 8).select(
         F.md5(F.col("id").cast("string")).alias("v"), F.lit(date(2025, 1, 1)).alias("created_month")
     )
-    path = entry.scratch_path(spark, "months")
+    path = scratch_path(spark, "months")
     write_table(rows, path, "created_month")
     assert len(read_table(spark, path, rows).inputFiles()) > 4
 

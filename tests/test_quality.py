@@ -55,7 +55,7 @@ def test_conflicting_dimension_stops_the_load(spark):
         spark, {"ticket_id": "a", "agent_name": "Ann"}, {"ticket_id": "b", "agent_name": "Bob"}
     )
     with pytest.raises(ValueError, match="agent_id"):
-        model.build_star(SharedTables(spark, "conflict"), lambda: stage)
+        model.Star(SharedTables(spark, "conflict"), lambda: stage).load()
 
 
 def test_orphans_count_a_row_once(spark):

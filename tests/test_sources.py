@@ -1,4 +1,5 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,27 @@ def test_tables_are_written_to_the_folder_of_the_session(spark, tmp_path):
     assert spark.read.parquet(f"{tables.path}/t").count() == 5
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, folder):
+        context = SimpleNamespace(applicationId="app-1", master=master)
+        conf = SimpleNamespace(get=lambda key, default: folder)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    named = shared.shared_root(session("spark://host:7077", "/shared/"))
+    assert named == "/shared/ticketlens-app-1"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_root(session("spark://host:7077", None))
+    local = session("local[2]", None)
+    assert shared.shared_root(local) == shared.shared_root(local)
+
+
+def test_files_are_written_once(spark):
+    tables, calls = shared.SharedTables(spark, "files"), []
+    for _ in range(2):
+        path = tables.folder("f", lambda p: calls.append(p))
+    assert calls == [path]
+
+
 def test_partitioned_table_prunes_by_month(spark, tmp_path):
     rows = model.with_month(
         tickets(

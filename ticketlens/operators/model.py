@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +60,8 @@ def _join_dimensions(tickets, customers, agents, need, how: str) -> DataFrame:
 
 def detail(
     tickets: DataFrame,
-    customers: DataFrame,
-    agents: DataFrame,
+    customers: DataFrame | None,
+    agents: DataFrame | None,
     need=("customer_region", "agent_name"),
     threshold=THRESHOLD_HOURS,
 ) -> DataFrame:
@@ -72,8 +71,8 @@ def detail(
     without a match are left out; :func:`quality.orphans` counts them.
     """
     joined = _join_dimensions(tickets, customers, agents, need, "inner")
-    rest = [c for c in tickets.columns]
-    return joined.select(*rest, *need, resolution_bucket(threshold).alias("resolution_bucket"))
+    bucket = resolution_bucket(threshold).alias("resolution_bucket")
+    return joined.select(*tickets.columns, *need, bucket)
 
 
 def widen(tickets: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:
@@ -83,47 +82,71 @@ def widen(tickets: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFr
     return joined.select(*tickets.columns, *need)
 
 
-@dataclass(frozen=True)
-class Star:
-    stage: DataFrame
-    clean: DataFrame
-    customers: DataFrame
-    agents: DataFrame
-    tickets: DataFrame
+def _refuse_repeated_key(key: str) -> Callable[[DataFrame], None]:
+    def check(dimension: DataFrame) -> None:
+        repeated = check_unique({key: (dimension, key)}).first()["bad_rows"]
+        if repeated:
+            raise ValueError(f"{repeated} values of {key} have more than one attribute value")
 
-    def detail(self, *need: str) -> DataFrame:
-        return detail(self.tickets, self.customers, self.agents, need)
+    return check
 
 
-def build_star(
-    tables: SharedTables,
-    stage: Callable[[], DataFrame],
-    rules: Rules = Rules(),
-    tiebreak=(),
-) -> Star:
-    """Write and read back the stage, the clean table and the dimensions.
+class Star:
+    """The stage, the clean table and the model, each written at first use and then read back.
 
     The clean table is partitioned by month. The fact is its nine-column projection: Parquet reads
-    only the columns asked for, so a second copy would gain nothing. A key with two attribute values
-    would multiply tickets in joins, so it stops the load, as a primary key would.
+    only the columns asked for, so a second copy would gain nothing. A dimension key with two
+    attribute values would multiply tickets in joins, so it stops the load, as a primary key would.
     """
-    staged = tables.table("stage", stage)
-    cleaned = tables.table(
-        "clean", lambda: with_month(clean_tickets(staged, rules, tiebreak)), partition=MONTH
-    )
-    buyers = tables.table("customers", lambda: customers(cleaned))
-    staff = tables.table("agents", lambda: agents(cleaned))
-    if "checked" not in tables.notes:
-        _refuse_conflicts(buyers, staff)
-        tables.notes.add("checked")
-    return Star(staged, cleaned, buyers, staff, tickets(cleaned))
-
-
-def _refuse_conflicts(customers: DataFrame, agents: DataFrame) -> None:
-    keys = {"customer_id": (customers, "customer_id"), "agent_id": (agents, "agent_id")}
-    bad = check_unique(keys).where("bad_rows > 0").select("column").collect()
-    if bad:
-        raise ValueError(f"more than one attribute value for a key: {sorted(r[0] for r in bad)}")
+
+    def __init__(
+        self,
+        tables: SharedTables,
+        stage: Callable[[], DataFrame],
+        rules: Rules = Rules(),
+        tiebreak=(),
+    ):
+        self._tables = tables
+        self._stage = stage
+        self._rules = rules
+        self._tiebreak = tiebreak
+
+    @property
+    def stage(self) -> DataFrame:
+        return self._tables.table("stage", self._stage)
+
+    @property
+    def clean(self) -> DataFrame:
+        def build() -> DataFrame:
+            return with_month(clean_tickets(self.stage, self._rules, self._tiebreak))
+
+        return self._tables.table("clean", build, partition=MONTH)
+
+    @property
+    def customers(self) -> DataFrame:
+        check = _refuse_repeated_key("customer_id")
+        return self._tables.table("customers", lambda: customers(self.clean), check=check)
+
+    @property
+    def agents(self) -> DataFrame:
+        check = _refuse_repeated_key("agent_id")
+        return self._tables.table("agents", lambda: agents(self.clean), check=check)
+
+    @property
+    def tickets(self) -> DataFrame:
+        return tickets(self.clean)
+
+    def detail(self, *need: str) -> DataFrame:
+        """Tickets with the bucket and the needed dimension attributes."""
+        buyers = self.customers if "customer_region" in need else None
+        staff = self.agents if "agent_name" in need else None
+        return detail(self.tickets, buyers, staff, need)
+
+    def load(self) -> Star:
+        """Write every table now instead of at first use."""
+        for name in ("stage", "clean", "customers", "agents"):
+            getattr(self, name)
+        return self
 
 
 def register_views(spark: SparkSession, star: Star) -> None:

@@ -70,18 +70,34 @@ class SharedTables:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = scratch_path(spark, name)
-        self.notes: set[str] = set()
         self._tables: dict[str, DataFrame] = {}
+        self._folders: set[str] = set()
 
     def table(
-        self, name: str, build: Callable[[], DataFrame], partition: str | None = None
+        self,
+        name: str,
+        build: Callable[[], DataFrame],
+        partition: str | None = None,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> DataFrame:
+        """The named table; ``check`` may refuse it, once it is written, by raising."""
         if name not in self._tables:
             df = build()
             write_table(df, f"{self.path}/{name}", partition)
-            self._tables[name] = read_table(self.spark, f"{self.path}/{name}", df)
+            written = read_table(self.spark, f"{self.path}/{name}", df)
+            if check is not None:
+                check(written)
+            self._tables[name] = written
         return self._tables[name]
 
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """Path of files that are not a table, written at first use."""
+        path = f"{self.path}/{name}"
+        if name not in self._folders:
+            write(path)
+            self._folders.add(name)
+        return path
+
 
 _SHARED: dict[tuple[str, str], SharedTables] = {}
 
