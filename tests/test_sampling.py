@@ -2,6 +2,7 @@ import hashlib
 import math
 
 import pytest
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from ticketlens.operators import columns, sampling
@@ -36,6 +37,18 @@ def test_sample_larger_than_the_table_is_the_table(star):
         assert got.count() == rows.count()
 
 
+def test_the_whole_table_is_not_sorted(star):
+    rows = keyed(star)
+    plan = plan_of(sampling.exact_sample(rows, "ticket_id", rows.count(), 1, 10, 10), "simple")
+    assert "Sort" not in plan and "TakeOrdered" not in plan
+
+
+def test_sample_of_an_empty_table_is_empty(star):
+    nothing = keyed(star).where("1 = 0")
+    for n in (5, 50):
+        assert sampling.exact_sample(nothing, "ticket_id", n, 1, 10, 10).isEmpty()
+
+
 def test_sample_does_not_depend_on_partitioning(star):
     a = sampling.exact_sample(keyed(star).repartition(3), "ticket_id", 100, 9)
     b = sampling.exact_sample(keyed(star).coalesce(1), "ticket_id", 100, 9)

@@ -93,14 +93,18 @@ def check_castable(stage: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def check_dim_conflicts(df: DataFrame, pairs) -> DataFrame:
-    """For every (key, attribute) pair, how many filled keys carry more than one value."""
-    parts = []
-    for key, attribute in pairs:
-        name = f"{key} -> {attribute}"
-        seen = df.select(filled(key).alias("k"), filled(attribute).alias("v")).dropna().distinct()
-        split = seen.groupBy("k").count().where("count > 1")
-        parts.append(split.agg(F.count("*").alias(name)).transform(_as_rows, "dim conflict", [name]))
-    return _stack(parts)
+    """For every (key, attribute) pair, how many filled keys carry more than one value.
+
+    All pairs share one pass over the rows.
+    """
+    named = {f"{key} -> {attribute}": (key, attribute) for key, attribute in pairs}
+    cells = [
+        F.struct(F.lit(name).alias("pair"), filled(key).alias("k"), filled(attribute).alias("v"))
+        for name, (key, attribute) in named.items()
+    ]
+    seen = df.select(F.inline(F.array(*cells))).dropna("any").distinct()
+    split = seen.groupBy("pair", "k").count().where("count > 1")
+    return _count_all(split, "dim conflict", {name: F.col("pair") == name for name in named})
 
 
 def orphans(tickets: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:

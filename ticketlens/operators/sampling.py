@@ -28,8 +28,9 @@ def hash_unit(key: str, seed: int) -> Column:
     return (bits + 1).cast("double") / F.lit(float(2**52))
 
 
-def _edge_interval(rows: DataFrame, n: int, edge_rows: int) -> tuple[float, float, int]:
-    """An interval of draws that holds the n-th smallest, and how many rows lie below it.
+def _edge_interval(rows: DataFrame, n: int, edge_rows: int):
+    """The interval of draws that holds the n-th smallest: its row count and ends, and the number of
+    rows below it.
 
     Every round counts the rows of equal-width intervals and goes on inside the one with the n-th
     row, until it is small. Only interval counts reach the driver, never rows.
@@ -52,7 +53,7 @@ def _edge_interval(rows: DataFrame, n: int, edge_rows: int) -> tuple[float, floa
             if below + found["n"] >= n:
                 break
             below += found["n"]
-    return found["bottom"], found["top"], below
+    return found, below
 
 
 def _smallest(
@@ -66,9 +67,12 @@ def _smallest(
     rows = df.withColumn("_draw", draw)
     if n <= direct:
         return rows.orderBy("_draw", key).limit(n).drop("_draw")
-    bottom, top, below = _edge_interval(rows, n, edge_rows)
-    edge = rows.where(F.col("_draw").between(bottom, top)).orderBy("_draw", key).limit(n - below)
-    return rows.where(F.col("_draw") < bottom).unionByName(edge).drop("_draw")
+    edge, below = _edge_interval(rows, n, edge_rows)
+    if below + edge["n"] <= n:
+        return rows.where(F.col("_draw") <= edge["top"]).drop("_draw")
+    at_edge = rows.where(F.col("_draw").between(edge["bottom"], edge["top"]))
+    last = at_edge.orderBy("_draw", key).limit(n - below)
+    return rows.where(F.col("_draw") < edge["bottom"]).unionByName(last).drop("_draw")
 
 
 def exact_sample(
