@@ -185,9 +185,18 @@ def test_dedupe_is_idempotent(spark, star):
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
 
 
-def test_required_fields_are_a_parameter(spark):
-    stage = stage_rows(spark, {"agent_id": None}, {"ticket_id": "TKT2"})
+@pytest.mark.parametrize("gap", [None, "", "  "])
+def test_required_fields_are_a_parameter(spark, gap):
+    """A gap in a field that is not required for completeness is a broken rule instead."""
+    stage = stage_rows(
+        spark,
+        {"agent_id": gap},
+        {"ticket_id": "TKT2"},
+        {"ticket_id": "TKT3", "csat_score": gap},
+        {"ticket_id": "TKT4", "channel": gap},
+    )
     loose = Rules(required=("channel",))
-    found = cleaning.quarantine(stage, loose)
-    assert column(found, "problems") == ["agent_id: blank"]
+    good, found = cleaning.clean(stage, loose)
+    assert sorted(column(found, "problems")) == ["agent_id: blank", "csat_score: blank"]
+    assert column(good, "ticket_id") == ["TKT2"]
     assert set(found.columns) == {*STAGE_COLUMNS, "problems"}

@@ -54,9 +54,9 @@ def typed_columns() -> dict[str, Column]:
         "ticket_id": F.trim("ticket_id"),
         "customer_id": filled("customer_id"),
         "customer_region": F.initcap(filled("customer_region")),
-        "agent_id": F.trim("agent_id"),
+        "agent_id": filled("agent_id"),
         "agent_name": filled("agent_name"),
-        "channel": F.trim("channel"),
+        "channel": filled("channel"),
         "category": filled("category"),
         "created_at": as_timestamp("created_at"),
         "first_response_minutes": as_decimal("first_response_minutes", 7),
@@ -83,13 +83,11 @@ def typed(stage: DataFrame) -> DataFrame:
     return stage.select(*[values[c].alias(c) for c in STAGE_COLUMNS])
 
 
-def outside(value: Column, allowed: Range) -> Column:
-    """True where the number is present and not in the range."""
+def inside(value: Column, allowed: Range) -> Column:
+    """Whether the number is in the range; NULL for a missing number."""
     low = F.lit(allowed.low)
-    bad = value <= low if allowed.open_low else value < low
-    if allowed.high is not None:
-        bad = bad | (value > F.lit(allowed.high))
-    return bad
+    good = value > low if allowed.open_low else value >= low
+    return good if allowed.high is None else good & (value <= F.lit(allowed.high))
 
 
 def _rule_tests(rules: Rules) -> dict[str, Column]:
@@ -104,7 +102,7 @@ def _rule_tests(rules: Rules) -> dict[str, Column]:
         if c in rules.domains:
             tests[f"{c}: domain"] = ~values[c].isin(*rules.domains[c])
         if c in rules.ranges:
-            tests[f"{c}: range"] = outside(values[c], rules.ranges[c])
+            tests[f"{c}: range"] = ~inside(values[c], rules.ranges[c])
         if c in rules.max_lengths:
             tests[f"{c}: length"] = F.length(values[c]) > rules.max_lengths[c]
     return tests
@@ -114,10 +112,28 @@ def _complete_copies(stage: DataFrame, rules: Rules, tiebreak) -> DataFrame:
     return dedupe_tickets(stage, tiebreak).where(none_blank(rules.required))
 
 
+def _sound(rules: Rules) -> Column:
+    """True where a complete row breaks no rule: the opposite of the tests, each value looked at once.
+
+    A blank or uncastable value is NULL, its condition is then NULL, and a filter drops the row.
+    """
+    values = typed_columns()
+    conditions = []
+    for c in STAGE_COLUMNS:
+        if c in rules.max_lengths:
+            conditions.append(F.length(values[c]) <= rules.max_lengths[c])
+        if c in rules.domains:
+            conditions.append(values[c].isin(*rules.domains[c]))
+        if c in rules.ranges:
+            conditions.append(inside(values[c], rules.ranges[c]))
+        if not any(c in limits for limits in (rules.max_lengths, rules.domains, rules.ranges)):
+            conditions.append(values[c].isNotNull())
+    return reduce(and_, conditions)
+
+
 def clean_tickets(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:
     """Typed tickets: unique, complete and within the rules."""
-    sound = reduce(and_, [~F.coalesce(t, F.lit(False)) for t in _rule_tests(rules).values()])
-    return typed(_complete_copies(stage, rules, tiebreak).where(sound))
+    return typed(_complete_copies(stage, rules, tiebreak).where(_sound(rules)))
 
 
 def quarantine(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:

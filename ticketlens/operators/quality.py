@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import filled, is_blank
 from ..schema import STAGE_COLUMNS, Rules
-from .cleaning import CAST_COLUMNS, TEXT_COLUMNS, outside, typed, typed_columns
+from .cleaning import CAST_COLUMNS, TEXT_COLUMNS, inside, typed, typed_columns
 
 
 def _as_rows(counts: DataFrame, check: str, names: list[str]) -> DataFrame:
@@ -78,7 +78,7 @@ def check_range(stage: DataFrame, ranges: Mapping | None = None) -> DataFrame:
     tests = {}
     for column, allowed in asked.items():
         for one in allowed if isinstance(allowed, (list, tuple)) else [allowed]:
-            tests[f"{column} {one}"] = outside(F.col(column), one)
+            tests[f"{column} {one}"] = ~inside(F.col(column), one)
     return _count_all(typed(stage), "range", tests)
 
 
