@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat_windows, exact_dedup
+from ticketlens.llm import chat_windows, divergence_rules, exact_dedup, secret_links
 from ticketlens.llm.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +46,32 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact(_table(spark, sf_dir, "documents"))
 
 
+def op7_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_links.find_secrets(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_links.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def digest(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secret_links.BASE],
+        F.sha2(digest(base), 256).alias("base_sha256"),
+        digest(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    found = (op2_chat_windows, op6_exact_dedup)
+    found = (op2_chat_windows, op6_exact_dedup, op7_divergence_rules, op10_secret_links)
     return {query.__name__: query for query in found}
 
 
