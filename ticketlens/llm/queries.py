@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat_windows, divergence_rules, exact_dedup, secret_links
+from ticketlens.llm import chat_windows, divergence_rules, exact_dedup, packing, rans_output
+from ticketlens.llm import secret_links
 from ticketlens.llm.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; the files belong to the installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "rans").path("corpus")
+    rans_output.write_ids(
+        _table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=2
+    )
+    return rans_output.read_ids(spark, path).drop("ids")
+
+
 def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -42,6 +58,11 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact(_table(spark, sf_dir, "documents"))
 
@@ -71,7 +92,14 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_chat_windows, op6_exact_dedup, op7_divergence_rules, op10_secret_links)
+    found = (
+        op1_rans_output,
+        op2_chat_windows,
+        op3_packing,
+        op6_exact_dedup,
+        op7_divergence_rules,
+        op10_secret_links,
+    )
     return {query.__name__: query for query in found}
 
 
