@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat_windows, divergence_rules, exact_dedup, packing, rans_output
-from ticketlens.llm import secret_links
+from ticketlens.llm import (
+    bpe_codec,
+    chat_windows,
+    divergence_rules,
+    exact_dedup,
+    language_id,
+    packing,
+    rans_output,
+    secret_links,
+)
 from ticketlens.llm.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +71,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"), 5)
+    found = language_id.predict(docs, language_id.fit(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +86,17 @@ def op7_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    coded = bpe_codec.encode_decode(docs, vocabulary("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_links.find_secrets(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_links.BASE))
@@ -96,8 +122,10 @@ def queries() -> dict[str, Query]:
         op1_rans_output,
         op2_chat_windows,
         op3_packing,
+        op4_language_id,
         op6_exact_dedup,
         op7_divergence_rules,
+        op8_bpe_codec,
         op10_secret_links,
     )
     return {query.__name__: query for query in found}
