@@ -13,6 +13,7 @@ from ticketlens.llm import (
     divergence_rules,
     exact_dedup,
     language_id,
+    near_dedup,
     packing,
     rans_output,
     secret_links,
@@ -97,6 +98,10 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_links.find_secrets(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_links.BASE))
@@ -126,6 +131,7 @@ def queries() -> dict[str, Query]:
         op6_exact_dedup,
         op7_divergence_rules,
         op8_bpe_codec,
+        op9_near_dedup,
         op10_secret_links,
     )
     return {query.__name__: query for query in found}
