@@ -12,6 +12,7 @@ from ticketlens.llm import (
     chat_windows,
     divergence_rules,
     exact_dedup,
+    katz_lm,
     language_id,
     near_dedup,
     packing,
@@ -79,6 +80,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return katz_lm.score(docs, language_id.held_out(F.col("doc_id"), 10))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact(_table(spark, sf_dir, "documents"))
 
@@ -128,6 +134,7 @@ def queries() -> dict[str, Query]:
         op2_chat_windows,
         op3_packing,
         op4_language_id,
+        op5_katz_lm,
         op6_exact_dedup,
         op7_divergence_rules,
         op8_bpe_codec,
