@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlens.llm.arrowtext import flat, runs
 from ticketlens.llm.token_ids import KINDS, kinds_of, lowered
@@ -183,8 +184,13 @@ def _has_letter(column: pa.Array, found: np.ndarray) -> np.ndarray:
     return letter
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of each row with lang_pred, score and rejected.
+def predict(
+    docs: DataFrame,
+    model: Model,
+    keep: tuple[str, ...] = ("doc_id",),
+    names: tuple[str, str, str] = ("lang_pred", "score", "rejected"),
+) -> DataFrame:
+    """The columns ``keep`` of each row with lang_pred, score and rejected, under those ``names``.
 
     A NULL text, and one without any letter, gives ``und``, score 0 and is rejected; so does every
     text when nothing was labelled. Repeated rows get a prediction each, an empty table none. All of a text
@@ -192,8 +198,9 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
     kept = [rows.schema[name] for name in keep]
-    schema = type(rows.schema)(kept).add("lang_pred", "string").add("score", "double")
-    schema = schema.add("rejected", "boolean")
+    schema = T.StructType(kept)
+    for name, kind in zip(names, ("string", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
@@ -215,12 +222,19 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                         pa.array(score, pa.float64()),
                         pa.array(rejected, pa.bool_()),
                     ],
-                    names=[*keep, "lang_pred", "score", "rejected"],
+                    names=[*keep, *names],
                 )
 
     return rows.mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose language the model knows, with all their columns."""
+    names = ("__lang", "__score", "__rejected")
+    found = predict(docs, model, tuple(docs.columns), names)
+    return found.where("NOT __rejected").select(*docs.columns)
+
+
 def held_out(doc_id: Column, folds: int) -> Column:
     """Whether the row belongs to the fold that no model learns from; a NULL id does."""
     fold = F.crc32(doc_id.cast("string").cast("binary")) % folds

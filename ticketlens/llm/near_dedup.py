@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlens.llm.arrowtext import LOWER, flat, runs, words
@@ -354,9 +354,9 @@ def link(
     trees: int = TREES,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id, kept.
 
-    component_id is the smallest doc_id of the rows that links reach. A NULL or empty text, and one of
+    text_key is a 64-bit hash of the text, NULL hashing to the seed. component_id is the smallest doc_id of the rows that links reach. A NULL or empty text, and one of
     white space alone, has no shingles and is linked with nothing: it is its own component. Texts
     with equal sets, so also repeated rows, are linked. One row of each component is kept, that with the smallest
     doc_id. A NULL doc_id counts as larger than any other. An empty table gives an empty result;
@@ -426,6 +426,19 @@ def link(
     return _classes(signed, reps, roots)
 
 
+def drop_near(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component."""
+    kept = link(docs, width, share).where("kept")
+    name = F.concat_ws(":", F.col("text_key").cast("string"), F.col("doc_id").cast("string"))
+    kept = kept.select(name.alias("__key")).groupBy("__key").agg(F.count("*").alias("__stay"))
+    own = F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string"))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), own.alias("__key")).join(kept, "__key")
+    # rows that agree in doc_id and text stand for each other: as many stay as were kept of them
+    order = Window.partitionBy("__key").orderBy(F.lit(0))
+    rows = rows.withColumn("__n", F.row_number().over(order))
+    return rows.where("__n <= __stay").select("__row.*")
+
+
 def _classes(signed: DataFrame, reps: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Each row with the smallest doc_id of its component."""
     known = reps.select("set_key", F.col("row").alias("rep"))
@@ -444,6 +457,7 @@ def _classes(signed: DataFrame, reps: DataFrame, roots: DataFrame | None) -> Dat
     empty = signed.where("n_shingles = 0").withColumn("least", order)
     columns = (
         "doc_id",
+        "text_key",
         "n_shingles",
         F.col("least.doc_id").alias("component_id"),
         (F.col("least.row") == F.col("row")).alias("kept"),

@@ -105,7 +105,7 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.link(_table(spark, sf_dir, "documents"), width=2)
+    return near_dedup.link(_table(spark, sf_dir, "documents"), width=2).drop("text_key")
 
 
 def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
