@@ -64,9 +64,7 @@ def _may_hold(text: Column, lower: Column) -> dict[str, Column]:
     }
 
 
-def _is_valid(kind: str, text: Column, hit: Column, values: Column, at: Column) -> Column:
-    if kind == "assign":
-        return F.length(F.get(values, at)) >= MIN_VALUE
+def _is_valid(kind: str, hit: Column) -> Column:
     if kind == "access":
         return F.length(hit) >= MIN_ACCESS
     if kind == "weak_secret":
@@ -88,7 +86,7 @@ def _walk(kind: str, text: Column) -> Column:
         checked = F.transform(
             hits,
             lambda hit: F.struct(
-                F.length(hit).alias("size"), _is_valid(kind, text, hit, hits, F.lit(0)).alias("ok")
+                F.length(hit).alias("size"), _is_valid(kind, hit).alias("ok")
             ),
         )
     return F.zip_with(
@@ -211,7 +209,7 @@ def mask_secrets(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataF
     All rows and columns stay. Overlapping spans are replaced together, once. NULL text stays NULL.
     """
     scratch = Scratch(docs.sparkSession, "secret-masks")
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    digest = F.sha2("text", 256)
     held = _walks(docs, [digest.alias("__digest")]).where(F.size("found") > 0)
     walks = scratch.write(held.dropDuplicates(["__digest"]), "walks")
     found = _reported(scratch, walks, "__digest", scope)
@@ -220,14 +218,22 @@ def mask_secrets(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataF
     flagged = F.lit(False)
     for test in _may_hold(F.col("text"), lower).values():
         flagged = flagged | test
-    flagged = F.coalesce(flagged, F.lit(False))
-    rows = docs.withColumn("__flagged", flagged)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("__row"),
+        F.col("text").alias("__text"),
+        F.coalesce(flagged, F.lit(False)).alias("__flagged"),
+    )
+    clean = rows.where("NOT __flagged").select("__row.*")
+    hit = rows.where("__flagged").withColumn("__digest", F.sha2("__text", 256))
+    hit = hit.join(found.withColumnRenamed("spans", "__spans"), "__digest", "left")
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
-        between = F.substring("text", state["at"].cast("int") + 1, (span["start"] - state["at"]).cast("int"))
+        between = F.substring(
+            "__text", state["at"].cast("int") + 1, (span["start"] - state["at"]).cast("int")
+        )
         return F.struct(
             F.when(fresh, F.concat(state["out"], between, F.lit(mask)))
             .otherwise(state["out"])
@@ -236,20 +242,18 @@ def mask_secrets(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataF
         )
 
     masked = F.aggregate(
-        "spans",
+        "__spans",
         start,
         step,
         lambda s: F.concat(
-            s["out"], F.substring("text", s["at"].cast("int") + 1, F.length("text"))
+            s["out"], F.substring("__text", s["at"].cast("int") + 1, F.length("__text"))
         ),
     )
-    clean = rows.where(~F.col("__flagged")).select(*docs.columns)
-    hit = rows.where("__flagged").withColumn("__digest", digest).join(found, "__digest", "left")
-    hit = hit.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(masked))
+    hit = hit.withColumn("__text", F.coalesce(masked, "__text"))
+    changed = {"text": F.col("__text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        hit = hit.withColumn(
-            "n_chars",
-            F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)),
-        )
-    return clean.unionByName(hit.select(*docs.columns))
+        size = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        size = F.when(F.col("__spans").isNull(), F.col("__row.n_chars")).otherwise(size)
+        changed["n_chars"] = size
+    hit = hit.select(*[changed.get(c, F.col(f"__row.{c}")).alias(c) for c in docs.columns])
+    return clean.unionByName(hit)
