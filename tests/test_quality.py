@@ -28,6 +28,7 @@ def test_domain_and_range(spark):
         "first_response_minutes > 0": 0,
         "resolution_hours > 0": 1,
         "csat_score between 1 and 5": 1,
+        "created_at between 1900-01-01 and 2199-12-31": 0,
     }
     several = quality.check_range(stage, {"csat_score": [Range(1, 5), Range(5, 6)]})
     assert counts(several) == {"csat_score between 1 and 5": 1, "csat_score between 5 and 6": 2}

@@ -51,7 +51,6 @@ def test_slices_equal_plain_windows(spark, name, scores):
     df = entities(spark, scores)
     expected = ranks(by_windows(df, 4))
     assert ranks(ranking.rank_entities(df, "score", ("id",))) == expected
-    assert ranks(ranking.rank_entities(df, "score", ("id",), at_most=len(scores))) == expected
 
 
 def test_joined_slices_give_the_same(spark):

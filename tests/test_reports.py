@@ -45,14 +45,26 @@ def test_insights_name_the_largest_channel_not_the_first(spark):
         {"channel": "Phone", "category": "Delivery"},
     )
     assert column(reports.insights(rows), "insight") == [
-        "66.7% of all tickets arrive via Phone, the single largest channel.",
-        "Tickets resolved after 24 hours average 3.00 CSAT vs 4.00 for tickets resolved within"
-        " 24 hours, a 25.0% drop.",
+        "Phone brings the most tickets: 66.7% of them.",
+        "Beyond 24 hours satisfaction is 3.00, up to then 4.00: 25.0% less.",
         "Speed up Refund and Billing tickets, which pass 24 hours most often, and Chat, the channel"
         " slowest to respond.",
     ]
 
 
+def test_insights_always_have_three_lines(spark):
+    early = tickets(spark, {"resolution_hours": "2"})
+    lines = column(reports.insights(early, threshold=12), "insight")
+    assert len(lines) == 3 and lines[1] == "There are not tickets on both sides of 12 hours to compare."
+    assert len(column(reports.insights(early.limit(0)), "insight")) == 3
+
+
+def test_labels_follow_the_threshold(spark):
+    rows = tickets(spark, {"resolution_hours": "30"})
+    labels = column(reports.pivot_resolution(rows, threshold=48), "resolution_bucket")
+    assert labels == ["Within 48h (<=48)", "After 48h (>48)", "CSAT drop after 48h"]
+
+
 def test_dictionary_lists_all_fields(star):
     rows = reports.data_dictionary(star.clean).collect()
     assert [r["position"] for r in rows] == list(range(1, 12))

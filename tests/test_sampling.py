@@ -25,28 +25,44 @@ def unit(key, seed=42):
 def test_exact_sample_is_the_n_smallest(star, n):
     every = [r["ticket_id"] for r in keyed(star).collect()]
     expected = set(sorted(every, key=unit)[:n])
-    for limits in ((5000, 5000), (10, 5000), (10, 10)):
-        got = sampling.exact_sample(keyed(star), "ticket_id", n, 42, *limits)
-        assert got.count() == n and ids(got) == expected
+    got = sampling.exact_sample(keyed(star), "ticket_id", n, 42)
+    assert got.count() == n and ids(got) == expected
 
 
 def test_sample_larger_than_the_table_is_the_table(star):
     rows = keyed(star)
-    for limits in ((10_000, 10_000), (10, 10)):
-        got = sampling.exact_sample(rows, "ticket_id", rows.count() + 5, 1, *limits)
+    for more in (0, 1, 5):
+        got = sampling.exact_sample(rows, "ticket_id", rows.count() + more, 1)
         assert got.count() == rows.count()
 
 
+@pytest.mark.parametrize("n", [0, 1, 90, 99, 100, 101, 1000, 1799, 1800, 1801, 2500])
+def test_any_size_is_exact_and_rows_without_a_key_are_never_drawn(spark, n):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") >= 200, F.concat(F.lit("T"), F.col("id"))).alias("ticket_id")
+    )
+    got = [r["ticket_id"] for r in sampling.exact_sample(rows, "ticket_id", n, 42).collect()]
+    every = sorted((f"T{i}" for i in range(200, 2000)), key=unit)
+    assert len(got) == len(set(got)) == min(n, 1800) and set(got) == set(every[:n])
+
+
+def test_equal_draws_may_fill_more_than_a_slot(spark):
+    """With one draw for all rows the key decides, however many they are."""
+    rows = spark.range(3000).select(F.format_string("%05d", "id").alias("k"))
+    got = sampling._smallest(rows, F.lit(0.5), "k", 1234)
+    assert {r["k"] for r in got.collect()} == {f"{i:05d}" for i in range(1234)}
+
+
 def test_the_whole_table_is_not_sorted(star):
     rows = keyed(star)
-    plan = plan_of(sampling.exact_sample(rows, "ticket_id", rows.count(), 1, 10, 10), "simple")
+    plan = plan_of(sampling.exact_sample(rows, "ticket_id", rows.count(), 1), "simple")
     assert "Sort" not in plan and "TakeOrdered" not in plan
 
 
 def test_sample_of_an_empty_table_is_empty(star):
     nothing = keyed(star).where("1 = 0")
     for n in (5, 50):
-        assert sampling.exact_sample(nothing, "ticket_id", n, 1, 10, 10).isEmpty()
+        assert sampling.exact_sample(nothing, "ticket_id", n, 1).isEmpty()
 
 
 def test_sample_does_not_depend_on_partitioning(star):
@@ -66,9 +82,8 @@ def test_weighted_sample(star):
     draws = sorted(every, key=lambda r: -math.log(unit(r["ticket_id"])) / size(r))
     for n in (100, 3000):
         expected = {r["ticket_id"] for r in draws[:n]}
-        for limits in ((5000, 5000), (10, 10)):
-            got = sampling.weighted_sample(keyed(star), "ticket_id", weight, n, 42, *limits)
-            assert ids(got) == expected
+        got = sampling.weighted_sample(keyed(star), "ticket_id", weight, n, 42)
+        assert ids(got) == expected
     assert got.where("channel = 'LOW'").isEmpty()
 
 
@@ -83,7 +98,9 @@ def test_weights_shift_the_chances(star):
 
 
 def test_shuffled_keeps_all_rows_in_hash_order(star):
-    got = [r["ticket_id"] for r in sampling.shuffled(keyed(star), "ticket_id", 4).collect()]
+    placed = sampling.shuffled(keyed(star), "ticket_id", 4).collect()
+    assert sorted(r["position"] for r in placed) == list(range(1, len(placed) + 1))
+    got = [r["ticket_id"] for r in sorted(placed, key=lambda r: r["position"])]
     assert got == sorted(got, key=lambda k: hashlib.md5(f"4{k}".encode()).hexdigest())
     assert len(got) == star.tickets.count()
 

@@ -1,4 +1,6 @@
+from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +11,7 @@ from rows import stage_rows, tickets
 from ticketlens.functions.dates import MONTH
 from ticketlens.operators import model
 from ticketlens.plans import analysis, reports
-from ticketlens.schema import CLEAN_SCHEMA, STAGE_COLUMNS, TICKET_COLUMNS
+from ticketlens.schema import CLEAN_SCHEMA, STAGE_COLUMNS, TICKET_COLUMNS, Rules
 from ticketlens.sources import shared, staging
 
 
@@ -114,17 +116,63 @@ def test_tables_are_written_to_the_folder_of_the_session(spark, tmp_path):
 def test_a_cluster_must_name_its_shared_folder():
     def session(master, folder):
         context = SimpleNamespace(applicationId="app-1", master=master)
-        conf = SimpleNamespace(get=lambda key, default: folder)
+        held = {} if folder is None else {"spark.checkpoint.dir": folder}
+        conf = SimpleNamespace(get=held.get, set=held.__setitem__)
         return SimpleNamespace(sparkContext=context, conf=conf)
 
     named = shared.shared_root(session("spark://host:7077", "/shared/"))
     assert named == "/shared/ticketlens-app-1"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared.shared_root(session("spark://host:7077", None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_root(session("local-cluster[2,1,1024]", None))
     local = session("local[2]", None)
     assert shared.shared_root(local) == shared.shared_root(local)
 
 
+def test_tables_are_kept_apart_by_rules(spark):
+    stage = stage_rows(spark, {"ticket_id": "A"}, {"ticket_id": "B", "channel": "Email"})
+    tables = shared.SharedTables(spark, "rules")
+    one = model.Star(tables, lambda: stage)
+    other = model.Star(tables, lambda: stage, replace(Rules(), domains={"channel": ("Email",)}))
+    assert (one.clean.count(), other.clean.count(), one.clean.count()) == (2, 1, 2)
+
+
+def test_refreshed_tables_are_built_again_and_dropped_ones_are_gone(spark, tmp_path):
+    rows = [spark.range(3), spark.range(5)]
+    tables = shared.SharedTables(spark, "again")
+    assert tables.table("t", lambda: rows[0]).count() == 3
+    assert tables.table("t", lambda: rows[1]).count() == 3
+    first = tables.path
+    tables.refresh()
+    assert tables.table("t", lambda: rows[1]).count() == 5
+    tables.drop()
+    for path in (first, tables.path):
+        assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_changed_files_give_new_tables(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    before = shared.shared_tables(spark, str(tmp_path))
+    assert shared.shared_tables(spark, str(tmp_path)) is before
+    spark.range(3).write.parquet(str(tmp_path / "b.parquet"))
+    assert shared.shared_tables(spark, str(tmp_path)) is not before
+
+
+def test_a_swapped_header_stops_the_load(spark, tmp_path):
+    names = list(STAGE_COLUMNS)
+    names[1], names[3] = names[3], names[1]
+    (tmp_path / "x.csv").write_text(",".join(names) + "\n" + ",".join("abcdefghijk") + "\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        staging.load_stage(spark, str(tmp_path)).collect()
+
+
+def test_quoted_line_breaks_are_staged(spark, tmp_path):
+    row = ["T1", '"a\nb"', *"cdefghijk"]
+    (tmp_path / "x.csv").write_text(",".join(STAGE_COLUMNS) + "\n" + ",".join(row) + "\n")
+    assert staging.load_stage(spark, str(tmp_path)).first()["customer_id"] == "a\nb"
+
+
 def test_files_are_written_once(spark):
     tables, calls = shared.SharedTables(spark, "files"), []
     for _ in range(2):

@@ -21,5 +21,14 @@ def month_of(df: DataFrame) -> Column:
     return F.col(MONTH) if MONTH in df.columns else month_start(F.col("created_at"))
 
 
+def period_of(df: DataFrame, name: str) -> Column:
+    """The first day of the ``month`` or ``quarter`` of created_at, or its ``year``."""
+    if name == "month":
+        return month_of(df)
+    if name == "quarter":
+        return F.trunc(F.col("created_at").cast("date"), "QUARTER")
+    return F.year("created_at")
+
+
 def shifted(ts: Column, days: Column, hours: Column, minutes: Column) -> Column:
     return ts + F.make_interval(days=days, hours=hours, mins=minutes)

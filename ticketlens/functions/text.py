@@ -26,10 +26,6 @@ def none_blank(names) -> Column:
     return reduce(and_, [~is_blank(c) for c in names])
 
 
-def any_null(names) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in names])
-
-
 def as_timestamp(name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
@@ -40,8 +36,19 @@ def as_decimal(name: str, precision: int, scale: int = 1) -> Column:
 
 
 def as_small_integer(name: str) -> Column:
-    """Text such as ``4.0`` to a whole number, half away from zero; NULL when that fails."""
-    return F.round(F.col(name).try_cast("decimal(18,9)")).try_cast("smallint")
+    """Text such as ``4.0`` to a whole number, half away from zero; NULL when that fails.
+
+    Thirty decimals are kept until then, so the text is rounded once.
+    """
+    return F.round(F.col(name).try_cast("decimal(38,30)")).try_cast("smallint")
+
+
+def title_case(text: Column) -> Column:
+    """Each run of letters and digits with its first letter large and the others small."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    return F.array_join(
+        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2)))), ""
+    )
 
 
 def padded_key(prefix: str, number: Column, width: int) -> Column:

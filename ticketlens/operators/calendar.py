@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, month_start
 
 
-def _days(df: DataFrame, first: Column, last: Column) -> DataFrame:
+def _days(years: DataFrame) -> DataFrame:
+    """The days of every year listed in ``year``; a year is the most that one row unfolds to."""
+    first, last = F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))
     day = F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).alias("date")
-    return df.select(day).select(
+    return years.select(day).select(
         "date",
         F.year("date").alias("year"),
         F.quarter("date").alias("quarter"),
@@ -23,12 +25,17 @@ def _days(df: DataFrame, first: Column, last: Column) -> DataFrame:
 
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
-    return _days(spark.range(1), F.lit(start), F.lit(end))
+    years = spark.range(start.year, end.year + 1).select(F.col("id").cast("int").alias("year"))
+    return _days(years).where(F.col("date").between(F.lit(start), F.lit(end)))
 
 
 def calendar_of(tickets: DataFrame) -> DataFrame:
-    """One row per day of every calendar year from the first ticket to the last."""
+    """One row per day of every calendar year from the first ticket to the last.
+
+    The range rule on created_at bounds the years.
+    """
     span = tickets.agg(F.min("created_at").alias("first"), F.max("created_at").alias("last"))
-    first = F.trunc(F.col("first").cast("date"), "YEAR")
-    last = F.add_months(F.trunc(F.col("last").cast("date"), "YEAR"), 12) - F.expr("INTERVAL 1 DAY")
-    return _days(span.where("first IS NOT NULL"), first, last.cast("date"))
+    years = span.where("first IS NOT NULL").select(
+        F.explode(F.sequence(F.year("first"), F.year("last"))).alias("year")
+    )
+    return _days(years)

@@ -20,8 +20,10 @@ from ..functions.text import (
     filled,
     is_blank,
     none_blank,
+    title_case,
 )
 from ..schema import REQUIRED_FIELDS, STAGE_COLUMNS, Range, Rules
+from ..sources.shared import pinned
 
 PROBLEMS = "problems"
 
@@ -53,7 +55,7 @@ def typed_columns() -> dict[str, Column]:
     return {
         "ticket_id": F.trim("ticket_id"),
         "customer_id": filled("customer_id"),
-        "customer_region": F.initcap(filled("customer_region")),
+        "customer_region": title_case(filled("customer_region")),
         "agent_id": filled("agent_id"),
         "agent_name": filled("agent_name"),
         "channel": filled("channel"),
@@ -84,7 +86,7 @@ def typed(stage: DataFrame) -> DataFrame:
 
 
 def inside(value: Column, allowed: Range) -> Column:
-    """Whether the number is in the range; NULL for a missing number."""
+    """Whether the value is in the range; NULL for a missing one."""
     low = F.lit(allowed.low)
     good = value > low if allowed.open_low else value >= low
     return good if allowed.high is None else good & (value <= F.lit(allowed.high))
@@ -108,10 +110,6 @@ def _rule_tests(rules: Rules) -> dict[str, Column]:
     return tests
 
 
-def _complete_copies(stage: DataFrame, rules: Rules, tiebreak) -> DataFrame:
-    return dedupe_tickets(stage, tiebreak).where(none_blank(rules.required))
-
-
 def _sound(rules: Rules) -> Column:
     """True where a complete row breaks no rule: the opposite of the tests, each value looked at once.
 
@@ -131,23 +129,32 @@ def _sound(rules: Rules) -> Column:
     return reduce(and_, conditions)
 
 
+def clean_copies(copies: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Typed tickets from first copies: complete and within the rules."""
+    return typed(copies.where(none_blank(rules.required) & _sound(rules)))
+
+
 def clean_tickets(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:
     """Typed tickets: unique, complete and within the rules."""
-    return typed(_complete_copies(stage, rules, tiebreak).where(_sound(rules)))
+    return clean_copies(dedupe_tickets(stage, tiebreak), rules)
 
 
-def quarantine(stage: DataFrame, rules: Rules = Rules(), tiebreak=()) -> DataFrame:
+def quarantine(
+    stage: DataFrame, rules: Rules = Rules(), tiebreak=(), copies: DataFrame | None = None
+) -> DataFrame:
     """Rows the clean table cannot take, as staged, with the reasons.
 
     Rows without a ticket id are held back before copies are dropped. Incomplete tickets are not
-    here; they are dropped and counted by :func:`incomplete`.
+    here; they are dropped and counted by :func:`incomplete`. ``copies`` are the stage's first copies,
+    where they are at hand.
     """
+    firsts = dedupe_tickets(stage, tiebreak) if copies is None else copies
     unnamed = stage.where(is_blank("ticket_id")).withColumn(
         PROBLEMS, F.array(F.lit("ticket_id: blank"))
     )
     reasons = [F.when(test, name) for name, test in _rule_tests(rules).items()]
     broken = (
-        _complete_copies(stage, rules, tiebreak)
+        firsts.where(none_blank(rules.required))
         .withColumn(PROBLEMS, F.array_compact(F.array(*reasons)))
         .where(F.size(PROBLEMS) > 0)
     )
@@ -159,23 +166,58 @@ def clean(
     stage: DataFrame, rules: Rules = Rules(), tiebreak=(), strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The clean table and the quarantine. ``strict`` raises if anything is held back."""
-    good, held = clean_tickets(stage, rules, tiebreak), quarantine(stage, rules, tiebreak)
+    copies = pinned(dedupe_tickets(stage, tiebreak), "first-copies")
+    good, held = clean_copies(copies, rules), quarantine(stage, rules, copies=copies)
     if strict and not held.isEmpty():
         raise ValueError("the stage holds rows that break the rules; see the quarantine")
     return good, held
 
 
 def incomplete(
-    stage: DataFrame, required=REQUIRED_FIELDS, per: str = "row", tiebreak=()
+    stage: DataFrame,
+    required=REQUIRED_FIELDS,
+    per: str = "row",
+    tiebreak=(),
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """How many distinct rows, or first copies of tickets, lack a required field."""
     if per == "row":
         gaps = stage.select(*STAGE_COLUMNS).where(any_blank(required)).distinct()
         return gaps.agg(F.count("*").alias("incomplete_rows"))
-    gaps = dedupe_tickets(stage, tiebreak).where(any_blank(required))
+    firsts = dedupe_tickets(stage, tiebreak) if copies is None else copies
+    gaps = firsts.where(any_blank(required))
     return gaps.agg(F.count("*").alias("incomplete_tickets"))
 
 
+def losses(stage: DataFrame, copies: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Where the raw rows went, as one row; the causes and the clean rows add up to the raw rows.
+
+    A row is counted for the first cause it meets: no ticket id, a later copy of a ticket, an empty
+    required field, a broken rule. ``copies`` are the first copies of the stage's tickets.
+    """
+    complete = none_blank(rules.required)
+    sound = F.coalesce(_sound(rules), F.lit(False))
+    kept = copies.agg(
+        F.struct(
+            F.count("*").alias("tickets"),
+            F.count_if(~complete).alias("incomplete"),
+            F.count_if(complete & ~sound).alias("quarantined"),
+        )
+    ).scalar()
+    raw = stage.agg(
+        F.count("*").alias("raw_rows"), F.count_if(is_blank("ticket_id")).alias("without_id")
+    )
+    counted = raw.withColumn("kept", kept).select("raw_rows", "without_id", "kept.*")
+    return counted.select(
+        "raw_rows",
+        "without_id",
+        (F.col("raw_rows") - F.col("without_id") - F.col("tickets")).alias("later_copies"),
+        "incomplete",
+        "quarantined",
+        (F.col("tickets") - F.col("incomplete") - F.col("quarantined")).alias("clean_rows"),
+    )
+
+
 def strict_clean(stage: DataFrame) -> DataFrame:
     """The stricter rule: whole-row copies dropped, and every row with any blank field."""
     rows = stage.select(*[F.when(~is_blank(c), F.col(c)).alias(c) for c in STAGE_COLUMNS])

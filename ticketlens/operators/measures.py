@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_of
+from ..functions.dates import month_of, period_of
 from ..functions.numeric import plain_ratio
 from ..schema import THRESHOLD_HOURS
 
@@ -66,24 +66,32 @@ def _drop() -> Column:
     return F.try_divide(within - after, within)
 
 
-def measures() -> dict[str, Column]:
+PERIODS = ("month", "quarter", "year")
+
+
+def measures(threshold=THRESHOLD_HOURS) -> dict[str, Column]:
     """Every measure, written in terms of the parts. Empty divisors give NULL."""
     return {
         "total_tickets": F.coalesce(F.col("tickets"), F.lit(0)),
         "avg_csat": _mean("sum_csat", "tickets"),
         "avg_resolution_hours": _mean("sum_hours", "tickets"),
         "avg_first_response_min": _mean("sum_minutes", "tickets"),
-        "pct_after_24h": _mean("late_tickets", "tickets"),
-        "csat_drop_after_24h": _drop(),
+        f"pct_after_{threshold:g}h": _mean("late_tickets", "tickets"),
+        f"csat_drop_after_{threshold:g}h": _drop(),
     }
 
 
 def sliced(df: DataFrame, slicers: Mapping | None) -> DataFrame:
-    """Keep the rows whose columns hold one of the chosen values; ``month`` takes month starts."""
+    """Keep the rows whose columns hold one of the chosen values.
+
+    ``month`` and ``quarter`` take their first days, ``year`` a number.
+    """
     if not slicers:
         return df
-    column = {"month": month_of(df)}
-    tests = [column.get(name, F.col(name)).isin(*chosen) for name, chosen in slicers.items()]
+    tests = [
+        (period_of(df, name) if name in PERIODS else F.col(name)).isin(*chosen)
+        for name, chosen in slicers.items()
+    ]
     return df.where(reduce(and_, tests))
 
 
@@ -92,8 +100,8 @@ def sliced_by_dimension(df: DataFrame, dimension: DataFrame, key: str, slicers:
     return df.join(sliced(dimension, slicers).select(key), key, "left_semi")
 
 
-def _chosen(sums: DataFrame, names, by) -> DataFrame:
-    known = measures()
+def _chosen(sums: DataFrame, names, by, threshold) -> DataFrame:
+    known = measures(threshold)
     picked = list(known) if names is None else list(names)
     return sums.select(*by, *[known[m].alias(m) for m in picked])
 
@@ -103,12 +111,13 @@ def evaluate(
 ) -> DataFrame:
     """Measures of the sliced tickets for every group; one row when ``by`` is empty.
 
-    ``by`` may name ``month`` besides the table's own columns.
+    ``by`` may name ``month``, ``quarter`` and ``year`` besides the table's own columns.
     """
     rows = sliced(df, slicers)
-    if "month" in by:
-        rows = rows.withColumn("month", month_of(rows))
-    return _chosen(grouped(rows, *by, threshold=threshold), names, by)
+    for name in PERIODS:
+        if name in by:
+            rows = rows.withColumn(name, period_of(rows, name))
+    return _chosen(grouped(rows, *by, threshold=threshold), names, by, threshold)
 
 
 def partial_sums(
@@ -121,10 +130,12 @@ def partial_sums(
     return grouped(rows, *dims, threshold=threshold)
 
 
-def evaluate_sums(sums: DataFrame, names=None, by=(), slicers: Mapping | None = None) -> DataFrame:
-    """The same as :func:`evaluate`, from stored partial sums."""
+def evaluate_sums(
+    sums: DataFrame, names=None, by=(), slicers: Mapping | None = None, threshold=THRESHOLD_HOURS
+) -> DataFrame:
+    """The same as :func:`evaluate`, from stored partial sums of that threshold."""
     chosen = sums
     if slicers:
         tests = [F.col(name).isin(*values) for name, values in slicers.items()]
         chosen = sums.where(reduce(and_, tests))
-    return _chosen(regrouped(chosen, *by), names, by)
+    return _chosen(regrouped(chosen, *by), names, by, threshold)

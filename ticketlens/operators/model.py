@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,16 +10,15 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH, month_start
 from ..schema import (
-    AFTER_LABEL,
     AGENT_COLUMNS,
     CUSTOMER_COLUMNS,
     THRESHOLD_HOURS,
     TICKET_COLUMNS,
-    WITHIN_LABEL,
     Rules,
+    bucket_labels,
 )
 from ..sources.shared import SharedTables
-from .cleaning import clean_tickets
+from .cleaning import clean_copies, dedupe_tickets
 from .quality import check_unique
 
 
@@ -41,9 +41,10 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, month_start(F.col("created_at")))
 
 
-def resolution_bucket(threshold=THRESHOLD_HOURS, within=WITHIN_LABEL, after=AFTER_LABEL):
+def resolution_bucket(threshold=THRESHOLD_HOURS):
     """Label of the bucket; a missing time belongs to none."""
     hours = F.col("resolution_hours")
+    within, after = bucket_labels(threshold)
     return F.when(hours > threshold, after).when(hours <= threshold, within)
 
 
@@ -92,10 +93,11 @@ def _refuse_repeated_key(key: str) -> Callable[[DataFrame], None]:
 
 
 class Star:
-    """The stage, the clean table and the model, each written at first use and then read back.
+    """The stage, first copies, clean table and model, each written at first use and then read back.
 
     The clean table is partitioned by month. The fact is its nine-column projection: Parquet reads
-    only the columns asked for, so a second copy would gain nothing. A dimension key with two
+    only the columns asked for, so a second copy would gain nothing. Tables are named by the rules and the
+    tie-break they were built with, so stars of other rules may share the stage. A dimension key with two
     attribute values would multiply tickets in joins, so it stops the load, as a primary key would.
     """
 
@@ -109,42 +111,61 @@ class Star:
         self._tables = tables
         self._stage = stage
         self._rules = rules
-        self._tiebreak = tiebreak
+        self._tiebreak = tuple(tiebreak)
+
+    def table(self, name: str, build: Callable[[], DataFrame], **how) -> DataFrame:
+        """A table of this star, kept apart from those of stars with other rules."""
+        made_from = repr((self._rules, self._tiebreak)).encode()
+        return self._tables.table(f"{name}-{hashlib.md5(made_from).hexdigest()[:12]}", build, **how)
 
     @property
     def stage(self) -> DataFrame:
         return self._tables.table("stage", self._stage)
 
+    @property
+    def copies(self) -> DataFrame:
+        """The first copy of every ticket, as staged: whole rows are deduplicated once."""
+        order = hashlib.md5(repr(self._tiebreak).encode()).hexdigest()[:12]
+        return self._tables.table(
+            f"copies-{order}", lambda: dedupe_tickets(self.stage, self._tiebreak)
+        )
+
     @property
     def clean(self) -> DataFrame:
         def build() -> DataFrame:
-            return with_month(clean_tickets(self.stage, self._rules, self._tiebreak))
+            return with_month(clean_copies(self.copies, self._rules))
 
-        return self._tables.table("clean", build, partition=MONTH)
+        return self.table("clean", build, partition=MONTH)
 
     @property
     def customers(self) -> DataFrame:
         check = _refuse_repeated_key("customer_id")
-        return self._tables.table("customers", lambda: customers(self.clean), check=check)
+        return self.table("customers", lambda: customers(self.clean), check=check)
 
     @property
     def agents(self) -> DataFrame:
         check = _refuse_repeated_key("agent_id")
-        return self._tables.table("agents", lambda: agents(self.clean), check=check)
+        return self.table("agents", lambda: agents(self.clean), check=check)
 
     @property
     def tickets(self) -> DataFrame:
         return tickets(self.clean)
 
-    def detail(self, *need: str) -> DataFrame:
-        """Tickets with the bucket and the needed dimension attributes."""
-        buyers = self.customers if "customer_region" in need else None
-        staff = self.agents if "agent_name" in need else None
-        return detail(self.tickets, buyers, staff, need)
+    def detail(self, *need: str, threshold=THRESHOLD_HOURS) -> DataFrame:
+        """Tickets with the bucket and the needed dimension attributes.
+
+        The clean table has the attributes beside the keys, and the load refuses a key with two of
+        them, so this equals the join with the dimensions without joining.
+        """
+        for attribute, dimension in (("customer_region", "customers"), ("agent_name", "agents")):
+            if attribute in need:
+                getattr(self, dimension)
+        bucket = resolution_bucket(threshold).alias("resolution_bucket")
+        return self.clean.select(*TICKET_COLUMNS, MONTH, *need, bucket)
 
     def load(self) -> Star:
         """Write every table now instead of at first use."""
-        for name in ("stage", "clean", "customers", "agents"):
+        for name in ("stage", "copies", "clean", "customers", "agents"):
             getattr(self, name)
         return self
 

@@ -110,18 +110,19 @@ def check_dim_conflicts(df: DataFrame, pairs) -> DataFrame:
 def orphans(tickets: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:
     """Tickets whose customer or agent is missing from its dimension, each counted once.
 
-    Tickets are folded to (customer, agent) counts before the joins, so a hot customer or agent
-    brings few rows to them.
+    The distinct keys of the tickets, folded in every task, are held against the dimensions. Those that
+    are unknown, normally none, then mark their tickets. Keys are trimmed, as cleaning does it; a
+    ticket without a key is an orphan.
     """
-    folded = tickets.groupBy("customer_id", "agent_id").agg(F.count("*").alias("n"))
-    known_customers = customers.select("customer_id", F.lit(True).alias("has_customer")).distinct()
-    known_agents = agents.select("agent_id", F.lit(True).alias("has_agent")).distinct()
-    lost = (
-        folded.join(known_customers, "customer_id", "left")
-        .join(known_agents, "agent_id", "left")
-        .where("has_customer IS NULL OR has_agent IS NULL")
+    rows = tickets.select(filled("customer_id").alias("customer_id"), filled("agent_id").alias("agent_id"))
+    marked = rows
+    for key, dimension in (("customer_id", customers), ("agent_id", agents)):
+        unknown = rows.select(key).distinct().join(dimension, key, "left_anti")
+        marked = marked.join(unknown.select(key, F.lit(True).alias(f"no_{key}")), key, "left")
+    lost = marked.where(
+        "no_customer_id OR no_agent_id OR customer_id IS NULL OR agent_id IS NULL"
     )
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_tickets"))
+    return lost.agg(F.count("*").alias("orphan_tickets"))
 
 
 def reconcile(

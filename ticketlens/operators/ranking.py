@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import pinned
 
-# Rows of a few dozen bytes: ordering this many is well within one task.
-ONE_TASK_ROWS = 100_000
-
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     """Tile of a 1-based position when ``rows`` rows are dealt to ``tiles`` tiles.
@@ -35,39 +32,43 @@ def rank_entities(
     tiebreak: tuple[str, ...],
     tiles: int = 4,
     names: tuple[str, str, str] = ("rank", "dense_rank", "tile"),
-    at_most: int | None = None,
 ) -> DataFrame:
     """Rank rows by descending score; tiles are dealt in the order of score, then ``tiebreak``.
 
-    The score must not be NULL and the tie-break must be unique. ``at_most`` is a proven bound on the
-    number of rows, such as the size of the dimension they were joined to: a small one lets a single
-    task order them. Without it, or beyond that size, the rows are ranked in slices.
+    The score must not be NULL and the tie-break must be unique. Rows are ranked in slices, whatever
+    their number.
     """
     order = [F.col(score).desc(), *[F.col(c).asc() for c in tiebreak]]
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        ranks = _ranks_in_one_task(order, tiles)
-        rows = df
-    else:
-        rows, ranks = _ranks_in_slices(df, score, order, tiles)
+    rows, ranks = _ranks_in_slices(df, score, order, tiles)
     named = [c.cast("bigint").alias(n) for c, n in zip(ranks, names, strict=True)]
     return rows.select(*df.columns, *named)
 
 
-def _ranks_in_one_task(order: list[Column], tiles: int) -> tuple[Column, Column, Column]:
-    by_score, by_all = Window.orderBy(order[0]), Window.orderBy(*order)
-    return F.rank().over(by_score), F.dense_rank().over(by_score), F.ntile(tiles).over(by_all)
+def _in_slices(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows range-partitioned by the order, written once so that every reader sees one split."""
+    ranged = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    return pinned(ranged, "slices")
+
+
+def numbered_in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows with their place in the order, from 1, without one task seeing them all."""
+    placed = _in_slices(df, order)
+    sizes = placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
+    # one row per slice, at most as many as there are shuffle partitions
+    line = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_slice", F.coalesce(F.sum("_rows").over(line), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    rows = placed.withColumn("_row", here).join(F.broadcast(before), "_slice")
+    return rows.select(*df.columns, (F.col("_before") + F.col("_row")).alias(name))
 
 
 def _ranks_in_slices(df: DataFrame, score: str, order: list[Column], tiles: int):
-    """Range-partition the rows by score and tie-break, rank every slice, and add offsets.
+    """Rank every slice of the rows ranged by score and tie-break, and add offsets.
 
-    With the tie-break in the range, many equal scores spread over several slices. The rows are
-    written once so that every later step sees the same split; adaptive execution joins small
-    neighbouring ranges. One summary row per slice then tells how many rows and scores precede it,
-    and where the score it starts with began.
+    With the tie-break in the range, many equal scores spread over several slices. One summary row
+    per slice then tells how many rows and scores precede it, and where the score it starts with began.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
-    placed = pinned(ranged, "ranks")
+    placed = _in_slices(df, order)
     here = Window.partitionBy("_slice")
     local = placed.select(
         "*",

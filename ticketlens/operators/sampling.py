@@ -10,12 +10,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many rows a plain ordered limit is used: every task hands that many to the last one.
-DIRECT_LIMIT = 1_000
-# Rows that may be left to order in one place after the cut of a larger sample.
-EDGE_ROWS = 100_000
-_BUCKETS = 4096
-_MAX_ROUNDS = 6
+from .ranking import numbered_in_order
+
+# Slots of the counting pass; their counts are all that reaches the driver.
+SLOTS = 4096
 
 
 def hash_text(key: str, seed: int) -> Column:
@@ -28,82 +26,53 @@ def hash_unit(key: str, seed: int) -> Column:
     return (bits + 1).cast("double") / F.lit(float(2**52))
 
 
-def _edge_interval(rows: DataFrame, n: int, edge_rows: int):
-    """The interval of draws that holds the n-th smallest: its row count and ends, and the number of
-    rows below it.
+def _slot(draw: Column) -> Column:
+    """Slot of a draw of 0 or more. Slots follow the logarithm, so a slot holds about the same share
+    of a sample whatever its size. Never decreasing in the draw, so slots can be cut like draws.
+    """
+    place = F.floor((F.ln(draw) + 40.0) * (SLOTS / 48.0))
+    return F.when(draw > 0, F.greatest(F.lit(0), F.least(F.lit(SLOTS - 1), place))).otherwise(0)
+
+
+def _smallest(df: DataFrame, draw: Column, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest draw, equal draws ordered by key; all rows when there are fewer.
 
-    Every round counts the rows of equal-width intervals and goes on inside the one with the n-th
-    row, until it is small. Only interval counts reach the driver, never rows.
+    One pass counts the rows per slot of the draw. Slots below the one with the n-th row are taken as
+    they are. Rows of that slot are numbered in slices, so it may hold any number of them.
     """
-    size = [
-        F.count("*").alias("n"),
-        F.min("_draw").alias("bottom"),
-        F.max("_draw").alias("top"),
-    ]
-    found, below = rows.agg(*size).first(), 0
-    for _ in range(_MAX_ROUNDS):
-        if found["n"] <= edge_rows or below + found["n"] <= n:
-            break
-        width = (found["top"] - found["bottom"]) / _BUCKETS
-        if width == 0:
+    rows = df.where(F.col(key).isNotNull()).withColumn("_draw", draw).withColumn("_slot", _slot(F.col("_draw")))
+    below, edge = 0, SLOTS
+    for slot, count in sorted(rows.groupBy("_slot").count().collect()):
+        if below + count > n:
+            edge = slot
             break
-        inside = rows.where(F.col("_draw").between(found["bottom"], found["top"]))
-        slot = F.least(F.lit(_BUCKETS - 1), F.floor((F.col("_draw") - found["bottom"]) / width))
-        for found in inside.groupBy(slot.alias("slot")).agg(*size).orderBy("slot").collect():
-            if below + found["n"] >= n:
-                break
-            below += found["n"]
-    return found, below
-
-
-def _smallest(
-    df: DataFrame, draw: Column, key: str, n: int, direct: int, edge_rows: int
-) -> DataFrame:
-    """The ``n`` rows with the smallest draw, equal draws ordered by key.
-
-    For a large ``n`` everything below a small interval is taken as it is, and only the rows inside
-    that interval are ordered.
+        below += count
+    taken = rows.where(F.col("_slot") < edge)
+    if edge < SLOTS and below < n:
+        order = [F.col("_draw").asc(), F.col(key).asc()]
+        numbered = numbered_in_order(rows.where(F.col("_slot") == edge), order, "_place")
+        taken = taken.unionByName(numbered.where(F.col("_place") <= n - below).drop("_place"))
+    return taken.drop("_draw", "_slot")
+
+
+def exact_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows drawn without replacement, all with the same chance.
+
+    The key must be unique. A row without a key has no draw of its own and is never taken, so the
+    sample has the smaller of ``n`` and the number of keyed rows.
     """
-    rows = df.withColumn("_draw", draw)
-    if n <= direct:
-        return rows.orderBy("_draw", key).limit(n).drop("_draw")
-    edge, below = _edge_interval(rows, n, edge_rows)
-    if below + edge["n"] <= n:
-        return rows.where(F.col("_draw") <= edge["top"]).drop("_draw")
-    at_edge = rows.where(F.col("_draw").between(edge["bottom"], edge["top"]))
-    last = at_edge.orderBy("_draw", key).limit(n - below)
-    return rows.where(F.col("_draw") < edge["bottom"]).unionByName(last).drop("_draw")
-
-
-def exact_sample(
-    df: DataFrame,
-    key: str,
-    n: int,
-    seed: int,
-    direct: int = DIRECT_LIMIT,
-    edge_rows: int = EDGE_ROWS,
-) -> DataFrame:
-    """``n`` rows drawn without replacement, all with the same chance. The key must be unique."""
-    return _smallest(df, hash_unit(key, seed), key, n, direct, edge_rows)
-
-
-def weighted_sample(
-    df: DataFrame,
-    key: str,
-    weight: Column,
-    n: int,
-    seed: int,
-    direct: int = DIRECT_LIMIT,
-    edge_rows: int = EDGE_ROWS,
-) -> DataFrame:
+    return _smallest(df, hash_unit(key, seed), key, n)
+
+
+def weighted_sample(df: DataFrame, key: str, weight: Column, n: int, seed: int) -> DataFrame:
     """``n`` rows drawn one after another without replacement, with chances given by the weight.
 
     Drawing the smallest of -ln(u) / weight is equal to that (Efraimidis and Spirakis, 2006). Rows
-    without a positive weight are never drawn.
+    without a key or a positive weight are never drawn.
     """
     able = df.withColumn("_weight", weight.cast("double")).where("_weight > 0")
     draw = -F.ln(hash_unit(key, seed)) / F.col("_weight")
-    return _smallest(able, draw, key, n, direct, edge_rows).drop("_weight")
+    return _smallest(able, draw, key, n).drop("_weight")
 
 
 def nested_weight(factors: Mapping[str, Mapping[str, float]]) -> Column:
@@ -117,6 +86,11 @@ def nested_weight(factors: Mapping[str, Mapping[str, float]]) -> Column:
     return total
 
 
-def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """All rows in a reproducible random order."""
-    return df.orderBy(hash_text(key, seed), key)
+def shuffled(df: DataFrame, key: str, seed: int, position: str = "position") -> DataFrame:
+    """All rows with their place in a reproducible random order, counted from 1.
+
+    The places are given in slices; sorting by them is left to the reader. Rows without a key come
+    last, in the order their hash leaves them in, which is none.
+    """
+    order = [hash_text(key, seed).asc_nulls_last(), F.col(key).asc_nulls_last()]
+    return numbered_in_order(df, order, position)

@@ -1,8 +1,8 @@
 """The eight standing questions about the tickets, and their uncut forms.
 
 Every question scans the tickets once, reads only its columns, and folds them to groups before
-anything else. Windows over all rows appear only on groups by channel, category, region or month,
-whose number does not grow with the tickets; agents and customers are ranked in slices.
+anything else. Windows over all rows appear only on groups by channel, whose domain is fixed, and by
+month, whose range is; everything else is ranked in slices or held against one-row totals.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def csat_by_bucket(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
             F.col("fast_tickets").alias("base_tickets"),
             F.col("fast_csat").alias("base_score"),
         )
-        for label, part in (("within_24h", "fast"), ("after_24h", "late"))
+        for label, part in ((f"within_{threshold:g}h", "fast"), (f"after_{threshold:g}h", "late"))
     ]
     rows = total.select(F.inline(F.array(*bucket))).where("tickets > 0 AND base_tickets > 0")
     wide = "decimal(38,0)"
@@ -59,7 +59,7 @@ def csat_by_bucket(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
         "bucket",
         "tickets",
         _mean("score", "tickets", 2).alias("avg_csat"),
-        percent(base - own, base).alias("pct_lower_vs_within_24h"),
+        percent(base - own, base).alias(f"pct_lower_vs_within_{threshold:g}h"),
     ).orderBy(F.desc_nulls_first("bucket"))
 
 
@@ -93,8 +93,7 @@ def calendar_monthly(tickets: DataFrame, calendar: DataFrame | None = None) -> D
 def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
     """Every agent with averages, rank and quartile by unrounded satisfaction.
 
-    Tickets are folded by agent before the names are joined, so a busy agent is one row there. The
-    size of the dimension bounds the number of rows to rank.
+    Tickets are folded by agent before the names are joined, so a busy agent is one row there.
     """
     stats = grouped(tickets, "agent_id").join(agents, "agent_id")
     scored = stats.select(
@@ -107,7 +106,7 @@ def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
         exact_ratio(F.col("sum_csat"), F.col("tickets")).alias("score"),
     )
     names = ("csat_rank", "csat_dense_rank", "csat_quartile")
-    ranked = rank_entities(scored, "score", ("agent_id",), 4, names, at_most=agents.count())
+    ranked = rank_entities(scored, "score", ("agent_id",), 4, names)
     return ranked.drop("score", "csat_dense_rank")
 
 
@@ -149,48 +148,51 @@ def top_categories_per_channel(tickets: DataFrame, k: int = 2) -> DataFrame:
 
 def sla_breach(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
     """Late share by category. The rank compares exact shares, not rounded percents."""
-    groups = grouped(tickets, "category", threshold=threshold)
-    share = exact_ratio(F.col("late_tickets"), F.col("tickets"))
-    rank = F.dense_rank().over(Window.orderBy(share.desc_nulls_first()))
-    return groups.select(
+    scored = grouped(tickets, "category", threshold=threshold).select(
         "category",
         "tickets",
         "late_tickets",
         percent(F.col("late_tickets"), F.col("tickets")).alias("pct_late"),
         _mean("sum_csat", "tickets", 2).alias("avg_csat"),
-        rank.cast("bigint").alias("lateness_rank"),
-    ).orderBy("lateness_rank", "category")
+        exact_ratio(F.col("late_tickets"), F.col("tickets")).alias("score"),
+    )
+    names = ("plain_rank", "lateness_rank", "tile")
+    ranked = rank_entities(scored, "score", ("category",), 1, names)
+    return ranked.drop("score", "plain_rank", "tile").orderBy("lateness_rank", "category")
 
 
 def regional_csat(tickets: DataFrame, customers: DataFrame) -> DataFrame:
     """Satisfaction by region against the plain mean of regions and against all tickets.
 
     Tickets are folded by customer before the join, and the company's mean is added up from the same
-    groups, tickets without a known customer included, so the tickets are read once.
+    groups, tickets without a known customer included.
     """
     known = customers.select("customer_id", "customer_region", F.lit(True).alias("known"))
     per_customer = grouped(tickets, "customer_id").join(known, "customer_id", "left")
     regions = regrouped(per_customer, "known", "customer_region")
     own = exact_ratio(F.col("sum_csat"), F.col("tickets"))
-    region_mean = over_groups(F.avg(F.when(F.col("known"), own)))
+    # one row of totals; a window over all regions would bring them into one task
+    totals = regions.agg(
+        F.struct(
+            F.avg(F.when(F.col("known"), own)).alias("region_mean"),
+            F.sum("tickets").alias("all_tickets"),
+            F.sum("sum_csat").alias("all_csat"),
+        )
+    ).scalar()
     wide = "decimal(38,0)"
     n, all_n = F.col("tickets").cast(wide), F.col("all_tickets").cast(wide)
     gap = F.col("sum_csat").cast(wide) * all_n - F.col("all_csat").cast(wide) * n
-    listed = regions.select(
-        "known",
-        "customer_region",
-        "tickets",
-        _mean("sum_csat", "tickets", 2).alias("region_csat"),
-        F.round(region_mean, 2).cast("double").alias("avg_of_region_csat"),
-        over_groups(F.sum("tickets")).alias("all_tickets"),
-        over_groups(F.sum("sum_csat")).alias("all_csat"),
-        "sum_csat",
-    ).where("known")
+    listed = regions.where("known").select(
+        "*",
+        totals["region_mean"].alias("region_mean"),
+        totals["all_tickets"].alias("all_tickets"),
+        totals["all_csat"].alias("all_csat"),
+    )
     return listed.select(
         "customer_region",
         "tickets",
-        "region_csat",
-        "avg_of_region_csat",
+        _mean("sum_csat", "tickets", 2).alias("region_csat"),
+        F.round("region_mean", 2).cast("double").alias("avg_of_region_csat"),
         ratio(gap, n * all_n, 3).alias("diff_vs_company"),
     ).orderBy(F.desc_nulls_first("region_csat"), "customer_region")
 
@@ -199,6 +201,6 @@ def channel_bucket_matrix(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> Data
     """Satisfaction by channel within and after the threshold; NULL where a cell has no tickets."""
     return grouped(tickets, "channel", threshold=threshold).select(
         "channel",
-        _mean("fast_csat", "fast_tickets", 2).alias("csat_within_24h"),
-        _mean("late_csat", "late_tickets", 2).alias("csat_after_24h"),
+        _mean("fast_csat", "fast_tickets", 2).alias(f"csat_within_{threshold:g}h"),
+        _mean("late_csat", "late_tickets", 2).alias(f"csat_after_{threshold:g}h"),
     ).orderBy(F.asc_nulls_last("channel"))

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, month_of
 from ..functions.numeric import fixed_text, over_groups, plain_ratio
-from ..operators.measures import PART_NAMES, grouped
+from ..operators.measures import grouped, regrouped
 from ..schema import CLEAN_SCHEMA, THRESHOLD_HOURS
 from ..sources.shared import write_table
 from ..sources.staging import write_csv
 
 # ---- fixed values: labels of the summaries ------------------------------------------------------
 TOTAL_LABEL = "Total"
-WITHIN_ROW = "Within 24h (<=24)"
-AFTER_ROW = "After 24h (>24)"
-DROP_ROW = "CSAT drop after 24h"
+WITHIN_ROW = "Within {0}h (<={0})"
+AFTER_ROW = "After {0}h (>{0})"
+DROP_ROW = "CSAT drop after {0}h"
 # -------------------------------------------------------------------------------------------------
 
 
@@ -54,12 +54,13 @@ def pivot_channel(tickets: DataFrame) -> DataFrame:
 
 
 def pivot_category(tickets: DataFrame) -> DataFrame:
-    """Categories by falling volume."""
-    all_tickets = over_groups(F.sum("tickets"))
-    return grouped(tickets, "category").select(
+    """Categories by falling volume, held against one row of totals."""
+    groups = grouped(tickets, "category")
+    total = groups.agg(F.sum("tickets")).scalar()
+    return groups.select(
         "category",
         "tickets",
-        plain_ratio(F.col("tickets"), all_tickets).alias("share"),
+        plain_ratio(F.col("tickets"), total).alias("share"),
         _avg("sum_csat").alias("avg_csat"),
         _avg("sum_hours").alias("avg_resolution_hrs"),
     ).orderBy(F.desc_nulls_first("tickets"), "category")
@@ -78,7 +79,7 @@ def pivot_resolution(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame
     rows = [
         F.struct(
             F.lit(i).alias("position"),
-            F.lit(label).alias("resolution_bucket"),
+            F.lit(label.format(f"{threshold:g}")).alias("resolution_bucket"),
             count.alias("tickets"),
             value.alias("avg_csat"),
         )
@@ -115,70 +116,71 @@ def first_agent(tickets: DataFrame) -> Column:
 
 
 def insights(tickets: DataFrame, threshold=THRESHOLD_HOURS) -> DataFrame:
-    """Three sentences on channel mix, slow resolution and where to act.
+    """Three sentences on channel mix, slow resolution and where to act; always three.
 
-    One pass folds the tickets by channel and category. Those few groups are then added up both by
-    channel and by category, and all sentences come from these rows.
+    One pass folds the tickets by channel and category. Those groups are added up by channel for the
+    facts, and by category for the two that are late most often.
     """
     cells = grouped(tickets, "channel", "category", threshold=threshold)
-    sums = cells.groupingSets([["channel"], ["category"]], "channel", "category").agg(
-        *[F.sum(n).alias(n) for n in PART_NAMES], F.grouping("channel").alias("by_category")
-    )
     late_share = plain_ratio(F.col("late_tickets"), F.col("tickets"))
-    latest = Window.partitionBy("by_category").orderBy(late_share.desc(), "category")
-    rows = sums.withColumn("place", F.row_number().over(latest))
-    channel, category = F.col("by_category") == 0, F.col("by_category") == 1
+    latest = (
+        regrouped(cells, "category")
+        .select(late_share.alias("share"), "category")
+        .orderBy(F.desc_nulls_last("share"), "category")
+        .limit(2)
+    )
+    places = F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("share"), "category")))
+    latest = latest.agg(places).scalar()
 
     def least(*cells: Column) -> Column:
-        return F.min(F.when(channel, F.struct(*cells)))
-
-    def total(name: str) -> Column:
-        return F.sum(F.when(channel, F.col(name)))
+        return F.min(F.struct(*cells))
 
-    facts = rows.agg(
+    facts = regrouped(cells, "channel").agg(
         least((-F.col("tickets")).alias("n"), F.col("channel")).alias("top"),
         least((-_avg("sum_minutes")).alias("minutes"), F.col("channel")).alias("slow"),
-        total("tickets").alias("tickets"),
-        total("fast_tickets").alias("fast_n"),
-        total("fast_csat").alias("fast_s"),
-        total("late_tickets").alias("late_n"),
-        total("late_csat").alias("late_s"),
-        *[
-            F.max(F.when(category & (F.col("place") == i), F.col("category"))).alias(f"late_{i}")
-            for i in (1, 2)
-        ],
+        F.sum("tickets").alias("tickets"),
+        F.sum("fast_tickets").alias("fast_n"),
+        F.sum("fast_csat").alias("fast_s"),
+        F.sum("late_tickets").alias("late_n"),
+        F.sum("late_csat").alias("late_s"),
     )
+    facts = facts.withColumn("latest", latest)
 
     wide = "decimal(38,0)"
     base = F.col("fast_s").cast(wide) * F.col("late_n")
     own = F.col("late_s").cast(wide) * F.col("fast_n")
     mix = F.concat(
-        fixed_text(F.col("top.n") * -100, F.col("tickets"), 1),
-        F.lit("% of all tickets arrive via "),
         F.col("top.channel"),
-        F.lit(", the single largest channel."),
+        F.lit(" brings the most tickets: "),
+        fixed_text(F.col("top.n") * -100, F.col("tickets"), 1),
+        F.lit("% of them."),
     )
     slow = F.concat(
-        F.lit(f"Tickets resolved after {threshold} hours average "),
+        F.lit(f"Beyond {threshold:g} hours satisfaction is "),
         fixed_text(F.col("late_s"), F.col("late_n"), 2),
-        F.lit(" CSAT vs "),
+        F.lit(", up to then "),
         fixed_text(F.col("fast_s"), F.col("fast_n"), 2),
-        F.lit(f" for tickets resolved within {threshold} hours, a "),
+        F.lit(": "),
         fixed_text((base - own) * 100, base, 1),
-        F.lit("% drop."),
+        F.lit("% less."),
     )
     act = F.concat(
         F.lit("Speed up "),
-        F.concat_ws(" and ", "late_1", "late_2"),
-        F.lit(f" tickets, which pass {threshold} hours most often, and "),
+        F.array_join(F.transform("latest", lambda one: one["category"]), " and "),
+        F.lit(f" tickets, which pass {threshold:g} hours most often, and "),
         F.col("slow.channel"),
         F.lit(", the channel slowest to respond."),
     )
+    unknown = (
+        "There are no tickets to compare channels by.",
+        f"There are not tickets on both sides of {threshold:g} hours to compare.",
+        "There are no tickets to act on.",
+    )
     lines = [
-        F.struct(F.lit(i).alias("position"), text.alias("insight"))
-        for i, text in enumerate((mix, slow, act), start=1)
+        F.struct(F.lit(i).alias("position"), F.coalesce(text, F.lit(without)).alias("insight"))
+        for i, (text, without) in enumerate(zip((mix, slow, act), unknown, strict=True), start=1)
     ]
-    return facts.select(F.inline(F.array(*lines))).where("insight IS NOT NULL").orderBy("position")
+    return facts.select(F.inline(F.array(*lines))).orderBy("position")
 
 
 def data_dictionary(clean: DataFrame) -> DataFrame:

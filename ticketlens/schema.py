@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date
 from types import MappingProxyType
 
 from pyspark.sql import types as T
@@ -22,12 +23,17 @@ REQUIRED_FIELDS = (
     "csat_score",
 )
 THRESHOLD_HOURS = 24
-WITHIN_LABEL = "<= 24 hrs"
-AFTER_LABEL = "> 24 hrs"
+BUCKET_LABELS = ("<= {} hrs", "> {} hrs")
 EXPORT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ------------------------------------------------------------------------------------------------
 
 
+def bucket_labels(threshold=THRESHOLD_HOURS) -> tuple[str, str]:
+    """Labels of the buckets within and after the threshold."""
+    within, after = BUCKET_LABELS
+    return within.format(f"{threshold:g}"), after.format(f"{threshold:g}")
+
+
 def _text(name: str, length: int, description: str) -> T.StructField:
     meta = {"label": "Text", "max_length": length, "description": description}
     return T.StructField(name, T.StringType(), True, meta)
@@ -37,6 +43,7 @@ def _typed(name: str, dtype: T.DataType, label: str, description: str) -> T.Stru
     return T.StructField(name, dtype, True, {"label": label, "description": description})
 
 
+# Names, lengths and type labels of the fields are fixed values; the descriptions are not.
 CLEAN_SCHEMA = T.StructType(
     [
         _text("ticket_id", 12, "Identifier of the ticket, unique after cleaning"),
@@ -72,10 +79,10 @@ TICKET_COLUMNS = tuple(c for c in STAGE_COLUMNS if c not in ("customer_region",
 
 @dataclass(frozen=True)
 class Range:
-    """Allowed values of a number: from ``low`` (left out when ``open_low``) up to ``high``."""
+    """Allowed values: from ``low`` (left out when ``open_low``) up to ``high``."""
 
-    low: int | float
-    high: int | float | None = None
+    low: int | float | date
+    high: int | float | date | None = None
     open_low: bool = False
 
     def __str__(self) -> str:
@@ -101,6 +108,8 @@ class Rules:
             first_response_minutes=Range(0, open_low=True),
             resolution_hours=Range(0, open_low=True),
             csat_score=Range(1, 5),
+            # keeps a mistyped year out of the calendar
+            created_at=Range(date(1900, 1, 1), date(2199, 12, 31)),
         )
     )
     max_lengths: Mapping[str, int] = field(

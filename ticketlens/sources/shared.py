@@ -6,13 +6,16 @@ columnar scan. The folder is the one the session names in ``spark.checkpoint.dir
 
 from __future__ import annotations
 
+import atexit
+import hashlib
+import logging
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
+_ROOTS: dict[str, tuple[SparkSession, str]] = {}
 
 
 def _application(spark: SparkSession) -> str:
@@ -22,17 +25,50 @@ def _application(spark: SparkSession) -> str:
 def shared_root(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only for a local session that names none.
+    Where a session names none, a local one gets a temporary folder, which is then set as its
+    ``spark.checkpoint.dir`` and logged; any other is refused. The folder is removed at exit.
     """
     app = _application(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return f"{named.rstrip('/')}/ticketlens-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="ticketlens-")
-    return _LOCAL_ROOTS[app]
+    if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        named = "file://" + tempfile.mkdtemp(prefix="ticketlens-")
+        spark.conf.set("spark.checkpoint.dir", named)
+        logging.getLogger(__name__).warning("spark.checkpoint.dir is unset; using %s", named)
+    root = f"{named.rstrip('/')}/ticketlens-{app}"
+    _ROOTS[root] = (spark, root)
+    return root
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
+@atexit.register
+def _remove_roots() -> None:
+    for spark, root in _ROOTS.values():
+        try:
+            delete_folder(spark, root)
+        except Exception:  # the session is gone, and with it the way to its files
+            logging.getLogger(__name__).info("left behind: %s", root)
+
+
+def source_tag(spark: SparkSession, path: str) -> str:
+    """Changes with the names, sizes and times of what lies in a folder; empty where there is none."""
+    where, files = _file_system(spark, path)
+    if not files.exists(where):
+        return ""
+    found = [
+        (f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(where)
+    ]
+    return hashlib.md5(repr(sorted(found)).encode()).hexdigest()[:12]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -65,7 +101,10 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
 
 
 class SharedTables:
-    """Named tables of one data set, each built at first use within an application."""
+    """Named tables of one data set, each built at first use within an application.
+
+    A name must say all that a table was built from besides the data set itself.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -99,12 +138,25 @@ class SharedTables:
         return path
 
 
-_SHARED: dict[tuple[str, str], SharedTables] = {}
+    def drop(self) -> None:
+        """Remove all tables. What still reads them can no longer be evaluated."""
+        delete_folder(self.spark, self.path)
+        self._tables.clear()
+        self._folders.clear()
+
+    def refresh(self) -> None:
+        """Forget all tables, so that each is built again from its source at its next use."""
+        self.drop()
+        self.path = scratch_path(self.spark, self.path.rpartition("/")[2].rpartition("-")[0])
+
+
+_SHARED: dict[tuple[str, str], tuple[str, SharedTables]] = {}
 
 
 def shared_tables(spark: SparkSession, name: str) -> SharedTables:
-    """The tables of one data set, the same object for the whole application."""
-    key = (_application(spark), name)
-    if key not in _SHARED:
-        _SHARED[key] = SharedTables(spark, name.strip("/").replace("/", "_"))
-    return _SHARED[key]
+    """The tables of the data set in a folder, the same object while its files stay the same."""
+    key, tag = (_application(spark), name), source_tag(spark, name)
+    if key not in _SHARED or _SHARED[key][0] != tag:
+        last = "_".join(name.replace(":", "").strip("/").split("/"))
+        _SHARED[key] = (tag, SharedTables(spark, last))
+    return _SHARED[key][1]

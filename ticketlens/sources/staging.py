@@ -12,22 +12,28 @@ from ..schema import CLEAN_SCHEMA, EXPORT_TIMESTAMP_FORMAT, STAGE_SCHEMA
 # An unquoted empty field is NULL and a quoted one is an empty string. Spark reads both as NULL
 # unless the NULL marker is a text that cannot occur.
 _NEVER = "\u0000"
+# Rows of a CSV file, so that one task can take a file whole.
+FILE_ROWS = 500_000
 
 
 def _reader(spark: SparkSession, schema: T.StructType, multiline: bool):
     return (
         spark.read.schema(schema)
         .option("header", True)
+        # the header must name the fields in their order, or every value would land in a wrong one
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("escape", '"')
         .option("multiLine", multiline)
     )
 
 
-def load_stage(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Stage a ticket export: header skipped, every column text, so no value can fail the load.
+def load_stage(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Stage a ticket export: header checked, every column text, so no value can fail the load.
 
-    ``multiline`` allows line breaks inside quotes, but then a file is read by a single task.
+    Quoted fields may hold line breaks; a file is then the least that a task reads, and
+    :func:`write_csv` keeps files small. Large files known to be without such breaks are read in splits
+    with ``multiline`` off.
     """
     return _reader(spark, STAGE_SCHEMA, multiline).option("nullValue", _NEVER).csv(path)
 
@@ -38,15 +44,18 @@ def load_clean(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("timestampNTZFormat", EXPORT_TIMESTAMP_FORMAT).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
+def write_csv(
+    df: DataFrame, path: str, sort: Sequence[str] = (), file_rows: int = FILE_ROWS
+) -> None:
     """Write CSV with a header; NULL becomes an empty field, times have a fixed format.
 
-    ``sort`` orders the rows within every file.
+    ``sort`` orders the rows within every file, and no file has more than ``file_rows``.
     """
     rows = df.sortWithinPartitions(*sort) if sort else df
     (
         rows.write.mode("overwrite")
         .option("header", True)
+        .option("maxRecordsPerFile", file_rows)
         .option("nullValue", "")
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
