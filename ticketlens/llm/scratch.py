@@ -1,28 +1,15 @@
 """Intermediate tables in the folder that all executors share.
 
 Operators that need their input twice write it once as Parquet and read it back, so a lost
-executor costs its running tasks and nothing else. The folder is the session's
-``spark.checkpoint.dir``; only where that is unset (tests, a laptop) a temporary one is set.
+executor costs its running tasks and nothing else. The tables lie in the application's folder below
+``spark.checkpoint.dir``, which is removed at exit; what no later read needs is dropped before.
 """
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def root(spark: SparkSession) -> str:
-    """The shared folder named by the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="ticketlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ticketlens.sources.shared import delete_folder, scratch_path
 
 
 class Scratch:
@@ -30,8 +17,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
-        _made.append((spark, self.folder))
+        self.folder = scratch_path(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -44,26 +30,4 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Removes a table that no later read needs."""
-        _delete(self.spark, self.path(name))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def release() -> None:
-    """Removes every table written so far; results that read them can no longer be evaluated."""
-    while _made:
-        spark, folder = _made.pop()
-        if spark.sparkContext._jsc is not None:
-            _delete(spark, folder)
-
-
-@atexit.register
-def _at_exit() -> None:
-    try:
-        release()
-    except Exception:  # the session is already gone; its folder belongs to the cluster
-        pass
+        delete_folder(self.spark, self.path(name))
