@@ -48,7 +48,7 @@ def unescape_role(role: Column) -> Column:
 
 def count_tokens(text: Column) -> Column:
     """Words and single marks, a stand-in for a tokenizer that runs inside Spark."""
-    return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"))
+    return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]"))
 
 
 def _head(role: Column) -> Column:

@@ -19,6 +19,7 @@ from ticketlens.llm import (
     rans_output,
     secret_links,
 )
+from ticketlens.llm.oracles import oracle_sql  # noqa: F401
 from ticketlens.llm.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,24 +143,3 @@ def queries() -> dict[str, Query]:
         op10_secret_links,
     )
     return {query.__name__: query for query in found}
-
-
-_OP6_SQL = """
-WITH texts AS (
-    SELECT doc_id,
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                     'abcdefghijklmnopqrstuvwxyz') AS normalised
-    FROM documents
-)
-SELECT doc_id,
-       max(doc_id) OVER same AS keep_id,
-       count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept,
-       sha256(normalised) AS text_sha256
-FROM texts
-WINDOW same AS (PARTITION BY normalised)
-"""
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": _OP6_SQL}
