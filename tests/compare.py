@@ -11,7 +11,7 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "conversations")
 
 
 def duck(sf_dir: str):
