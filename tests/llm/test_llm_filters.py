@@ -232,7 +232,7 @@ def test_divergent_texts_fail_and_short_ones_are_guarded(spark):
     docs = spark.createDataFrame([*base, *odd], "doc_id long, text string, lang string")
     found = {r["doc_id"]: r for r in divergence_rules.judge(docs).collect()}
     assert [found[i]["kept"] for i in (901, 902, 903, 904, 905)] == [False, False, False, True, True]
-    assert found[904]["word_distance"] is None and found[903]["word_distance"] > 0.28
+    assert found[904]["word_distance"] is None and found[903]["word_distance"] > divergence_rules.MAX_WORD_DISTANCE
 
 
 def conversation_rows():

@@ -36,8 +36,8 @@ CLASSES = {
 }
 MIN_CHARS = 200
 MIN_WORDS = 150
-MAX_CHAR_DISTANCE = 0.29
-MAX_WORD_DISTANCE = 0.28
+MAX_CHAR_DISTANCE = 0.32
+MAX_WORD_DISTANCE = 0.26
 
 
 def _sum(items: Column) -> Column:
