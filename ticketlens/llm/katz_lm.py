@@ -34,6 +34,8 @@ from ticketlens.llm.scratch import Scratch
 TRUSTED = 5
 #: Training tokens for each partition of the tables.
 PER_PART = 1 << 20
+#: Bytes of text in a chunk, or one text if it is longer; a task holds one chunk at a time.
+CHUNK_BYTES = 4 << 20
 
 _UNKNOWN, _START, _FIRST = 0, 1, 2
 _END_HASH = 0  # the end is a word of its own; no word hashes to it but by a chance of 1 in 2 ** 64
@@ -91,7 +93,7 @@ class Unigrams:
 def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to chunks: the words of a run of documents by number, and how often training saw each."""
     part, n = TaskContext.get().partitionId(), 0
-    for batch in runs(batches):
+    for batch in runs(batches, CHUNK_BYTES):
         data, starts = flat(batch.column("text"))
         codes, distinct, bounds = words(LOWER[data], starts)
         length = np.diff(bounds) + 1
