@@ -38,14 +38,12 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     now, last, turn = edges.select("a", "b").where("a <> b").distinct(), None, 0
     now = scratch.write(now, f"{name}-{turn}")
     while True:
-        state = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if tuple(state) == last:
+        digest = F.sum(F.shiftright(F.xxhash64("a", "b"), 20))
+        state = tuple(now.agg(F.count("*"), digest).first())
+        if state == last:
             break
-        last, turn = tuple(state), turn + 1
-        before, now = now, scratch.write(
-            _small_star(_large_star(now).distinct()).distinct(), f"{name}-{turn}"
-        )
-        del before
+        last, turn = state, turn + 1
+        now = scratch.write(_small_star(_large_star(now)).distinct(), f"{name}-{turn}")
         scratch.drop(f"{name}-{turn - 1}")
     roots = now.select(F.col("a").alias("row"), F.col("b").alias("root"))
     return roots.unionByName(now.select(F.col("b").alias("row"), F.col("b").alias("root")).distinct())

@@ -1,18 +1,19 @@
 """Near duplicates by a chosen-path similarity join over word shingles.
 
 A document's set is that of its distinct shingles, hashed to 64 bits. Equal sets meet first and go on as one
-representative. Each representative has 64 minhashes. Several independent trees branch the
-representatives: a node picks one or two minhash positions by its own hash, and a document goes to
-the child that its minhash there names. A child per 1 / 0.8 of the positions on average keeps a
+representative. Each representative has minhashes, 64 of them to branch by. Several independent trees
+branch the representatives: a node picks one or two minhash positions by its own hash, and a document
+goes to the child that its minhash there names. A child per 1 / 0.8 of the positions on average keeps a
 pair at the threshold together with a chance that does not fade with depth. Nodes that are small are
 leaves; large ones branch again. Nodes still large at the last level hold texts that agree
 nearly everywhere: they are dealt into leaves that all share one member.
 
-In a leaf, a byte of each minhash estimates the similarity of every pair. The leaf first hands out a
-spanning forest of its likely pairs; these are confirmed on the full sets, and confirmed links give
-components. Likely pairs that still join different components are handed out in further rounds,
-each document's best ones first and more each time, until none is left. So a group of copies costs
-a number of pairs near its size, and no likely link goes unchecked unless its ends are joined already.
+In a leaf, a byte of each of 256 minhashes estimates the similarity of every pair. The leaf hands out a
+spanning forest of its likely pairs; these are confirmed on the full sets, and the confirmed links give
+components. Where likely pairs still join different components, the sets of just those members come to the
+leaf, which compares them all there and hands out a forest of what it finds, confirmed in the same
+way. So a group of copies costs pairs in proportion to its size, never to its square, and no likely
+link goes unchecked unless its ends are joined already.
 """
 
 from __future__ import annotations
@@ -33,13 +34,14 @@ WIDTH = 5
 #: Pairs are linked when SHARE per cent or more of their union is common.
 SHARE = 80
 HASHES = 64
+SKETCH = 256
 TREES = 12
-LEVELS = 8
+LEVELS = 5
 #: Largest node that is compared in full, and the size that last large nodes are dealt into.
 LEAF = 64
 DEALT = 512
 #: Pairs are confirmed when the estimate is at least this, four deviations below the threshold.
-LIKELY = 0.6
+LIKELY = 0.7
 _SECOND = 0.25  # chance of a second position: 1.25 children on average, 1 / 0.8
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -54,8 +56,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_MULTIPLY = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
-_FLIP = mix(np.arange(1001, 1001 + HASHES, dtype=np.uint64))
+_MULTIPLY = mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
+_FLIP = mix(np.arange(1001, 1001 + SKETCH, dtype=np.uint64))
 
 
 def shingles(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -89,13 +91,13 @@ def shingles(column: pa.Array, width: int) -> list[np.ndarray]:
 
 def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     """A row of minhashes (32 bits) per set; empty sets have zeros."""
-    out = np.zeros((len(sets), HASHES), np.uint32)
+    out = np.zeros((len(sets), SKETCH), np.uint32)
     filled = [n for n, one in enumerate(sets) if len(one)]
     if not filled:
         return out
     every = np.concatenate([sets[n] for n in filled])
     starts = np.cumsum([0, *(len(sets[n]) for n in filled[:-1])])
-    for k in range(HASHES):
+    for k in range(SKETCH):
         least = np.minimum.reduceat((every ^ _FLIP[k]) * _MULTIPLY[k], starts)
         out[filled, k] = (least >> np.uint64(32)).astype(np.uint32)
     return out
@@ -112,9 +114,10 @@ def _signatures(width: int):
                     batch.column("text_key"),
                     pa.array([len(one) for one in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(one.tobytes()) for one in sets], pa.binary()),
-                    pa.array([row.tobytes() for row in hashes], pa.binary()),
+                    pa.array([row[:HASHES].tobytes() for row in hashes], pa.binary()),
+                    pa.array([row.astype(np.uint8).tobytes() for row in hashes], pa.binary()),
                 ],
-                names=["doc_id", "text_key", "n_shingles", "set_key", "minhashes"],
+                names=["doc_id", "text_key", "n_shingles", "set_key", "minhashes", "sketch"],
             )
 
     return sign
@@ -220,65 +223,93 @@ def _forest(close: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare(each: int, least: float, share: int):
-    """Likely pairs per leaf: a forest for ``each`` = 0, else up to that many per document."""
-
-    def of_leaf(rows, sizes, sketches, roots):
-        order = np.argsort(rows)
-        rows, sizes, sketches, roots = rows[order], sizes[order], sketches[order], roots[order]
-        close = np.empty((len(rows), len(rows)), np.float32)
-        for n in range(len(rows)):
-            close[n] = (sketches == sketches[n]).mean(axis=1)
-        small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-        close[(close < least) | (100 * small < share * large)] = 0
-        close[roots[:, None] == roots[None, :]] = 0
-        likely = int(np.count_nonzero(close)) // 2
-        if not likely:
-            return [], False
-        if each == 0:
-            pairs = _forest(close)
-            return [(rows[a], rows[b]) for a, b in pairs], likely > len(pairs)
-        pairs, more = set(), False
-        for n in range(len(rows)):
-            near = np.flatnonzero(close[n])
-            more |= len(near) > each
-            for m in near[np.argsort(-close[n][near], kind="stable")][:each]:
-                pairs.add((min(n, int(m)), max(n, int(m))))
-        return [(rows[a], rows[b]) for a, b in pairs], more
+def _likely(leaf: dict[str, np.ndarray], share: int) -> np.ndarray:
+    """Estimates of the pairs that may be links between different components, 0 for all others."""
+    sketches, sizes, roots = leaf["sketch"], leaf["n_shingles"], leaf["root"]
+    close = np.empty((len(roots), len(roots)), np.float32)
+    for n in range(len(roots)):
+        close[n] = (sketches == sketches[n]).mean(axis=1)
+    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    close[(close < LIKELY) | (100 * small < share * large)] = 0
+    close[roots[:, None] == roots[None, :]] = 0
+    return close
+
+
+def _spanning(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int, int, bool]]:
+    """A forest of the likely pairs, and whether it leaves out any."""
+    close = _likely(leaf, share)
+    pairs, rows = _forest(close), leaf["row"]
+    more = int(np.count_nonzero(close)) // 2 > len(pairs)
+    return [(int(rows[a]), int(rows[b]), more) for a, b in pairs]
+
+
+def _open(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int]]:
+    """Members with a likely pair that joins different components."""
+    return [(int(row),) for row in leaf["row"][_likely(leaf, share).any(axis=1)]]
+
+
+def _linked(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int, int]]:
+    """Links between different components, found on the sets, that join them without a circle."""
+    close, rows, sizes = _likely(leaf, share), leaf["row"], leaf["n_shingles"]
+    sets = [np.frombuffer(one, "<u4") for one in leaf["short"]]
+    root = {r: r for r in leaf["root"].tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    one, two = np.nonzero(np.triu(close))
+    for k in np.argsort(-close[one, two], kind="stable"):
+        a, b = int(one[k]), int(two[k])
+        up, down = find(int(leaf["root"][a])), find(int(leaf["root"][b]))
+        if up == down:
+            continue
+        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        if 100 * common >= share * (sizes[a] + sizes[b] - common):
+            root[up] = down
+            found.append((int(rows[a]), int(rows[b])))
+    return found
+
+
+def _per_leaf(work, share: int, names: list[str]):
+    """Runs ``work`` on the members of each leaf, from rows that are sorted by leaf."""
+
+    def columns(table: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {n: table.column(n).to_numpy() for n in ("row", "n_shingles", "root")}
+        raw = b"".join(table.column("sketch").to_pylist())
+        out["sketch"] = np.frombuffer(raw, np.uint8).reshape(-1, SKETCH)
+        if "short" in table.schema.names:
+            out["short"] = np.array([*table.column("short").to_pylist(), None], object)[:-1]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held: list[pa.RecordBatch] = []
         for batch in _ended(batches):
-            if batch is None:
-                table, rest = rest, None
-            else:
-                table = batch if rest is None else pa.concat_batches([rest, batch])
-            if table is None or not table.num_rows:
+            if batch is not None:
+                held.append(batch)
+                leaf = batch.column("leaf")
+                if not batch.num_rows or leaf[0] == leaf[-1]:
+                    continue  # the leaf may go on; its parts are joined once
+            if not held:
                 continue
+            table = pa.concat_batches(held)
             leaf = table.column("leaf").to_numpy()
-            turn = np.flatnonzero(np.diff(leaf)) + 1
-            bounds = [0, *turn.tolist(), len(leaf)]
+            bounds = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
+            held = []
             if batch is not None:
-                rest = table.slice(bounds[-2])
+                held = [table.slice(bounds[-2])]
                 bounds = bounds[:-1]
-            columns = [table.column(n).to_numpy() for n in ("row", "n_shingles", "root")]
-            raw = b"".join(table.column("sketch").to_pylist())
-            sketches = np.frombuffer(raw, np.uint8).reshape(-1, HASHES)
-            found: list[tuple] = []
+            every, found = columns(table), []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                pairs, more = of_leaf(columns[0][a:b], columns[1][a:b], sketches[a:b], columns[2][a:b])
-                found += [(one, two, int(leaf[a]), more) for one, two in pairs]
+                order = a + np.argsort(every["row"][a:b])
+                members = {name: values[order] for name, values in every.items()}
+                found += [(int(leaf[a]), *one) for one in work(members, share)]
             if found:
-                one, two, where, more = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one, pa.int64()),
-                        pa.array(two, pa.int64()),
-                        pa.array(where, pa.int64()),
-                        pa.array(more, pa.bool_()),
-                    ],
-                    names=["a", "b", "leaf", "more"],
-                )
+                fields = [pa.array(list(values)) for values in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(fields, names=["leaf", *names])
 
     return run
 
@@ -307,9 +338,13 @@ def _confirm(share: int):
 def _full_sets(width: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
-            sets = [one.astype("<u8").tobytes() for one in shingles(batch.column("text"), width)]
+            sets = shingles(batch.column("text"), width)
+            # half of each hash: common parts are never missed, and a link is confirmed in full
+            short = [np.unique(one.astype("<u4")).tobytes() for one in sets]
+            full = [one.astype("<u8").tobytes() for one in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(sets, pa.binary())], names=["row", "shingles"]
+                [batch.column("row"), pa.array(full, pa.binary()), pa.array(short, pa.binary())],
+                names=["row", "shingles", "short"],
             )
 
     return build
@@ -323,9 +358,8 @@ class _Sets:
         self.texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
         self.reps = reps.select("row", "doc_id", "text_key")
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
-        wanted = wanted.distinct()
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """Columns row, shingles and short for the rows in ``wanted``, and maybe for others."""
         for part in self.parts:
             wanted = wanted.join(part, "row", "left_anti")
         keys = wanted.join(self.reps, "row").withColumn("known", F.col("doc_id").isNotNull())
@@ -337,7 +371,7 @@ class _Sets:
             "text",
         )
         found = texts.join(keys, ["doc_id", "known", "text_key"]).select("row", "text")
-        built = found.mapInArrow(_full_sets(self.width), "row long, shingles binary")
+        built = found.mapInArrow(_full_sets(self.width), "row long, shingles binary, short binary")
         self.parts.append(
             self.scratch.write(built.dropDuplicates(["row"]), f"sets-{len(self.parts)}")
         )
@@ -366,63 +400,54 @@ def link(
     asked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = asked.mapInArrow(
         _signatures(width),
-        "doc_id long, text_key long, n_shingles long, set_key binary, minhashes binary",
+        "doc_id long, text_key long, n_shingles long, set_key binary, minhashes binary, sketch binary",
     )
     signed = scratch.write(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     # equal sets go on as one row, whatever their number: folded in the map task, then met by key
     first = signed.where("n_shingles > 0").groupBy("set_key").agg(F.min("row").alias("row"))
-    sketch = F.expr(
-        "to_binary(array_join(transform(sequence(0, {n}), i -> hex(substr(minhashes, 4 * i + 1, 1))), ''), 'hex')".format(
-            n=HASHES - 1
-        )
-    )
     reps = signed.join(first.select("row"), "row").select(
-        "row", "doc_id", "text_key", "n_shingles", "set_key", "minhashes", sketch.alias("sketch")
+        "row", "doc_id", "text_key", "n_shingles", "set_key", "minhashes", "sketch"
     )
     reps = scratch.write(reps, "representatives")
     leaves = _leaves(scratch, reps, trees, levels)
     sketches = reps.select("row", "n_shingles", "sketch")
     sets = _Sets(scratch, docs, reps, width)
-    tried, roots, turn = None, None, 0
-    asked_leaves = leaves
-    while True:
-        members = asked_leaves.join(sketches, "row")
-        if roots is None:
-            members = members.withColumn("root", F.col("row"))
-        else:
-            members = members.join(roots, "row", "left")
-            members = members.withColumn("root", F.coalesce("root", "row"))
-        each = 0 if turn == 0 else 4**turn
-        pairs = (
-            members.select("leaf", "row", "n_shingles", "root", "sketch")
-            .repartition("leaf")
-            .sortWithinPartitions("leaf")
-            .mapInArrow(_compare(each, LIKELY, share), "a long, b long, leaf long, more boolean")
+
+    def in_leaves(members: DataFrame, work, fields: dict[str, str]) -> DataFrame:
+        schema = ", ".join(f"{name} {kind}" for name, kind in {"leaf": "long", **fields}.items())
+        rows = members.repartition("leaf").sortWithinPartitions("leaf")
+        return rows.mapInArrow(_per_leaf(work, share, list(fields)), schema)
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        full = sets.of(ends).select("row", "shingles")
+        checked = (
+            pairs.join(full.select(F.col("row").alias("a"), F.col("shingles").alias("set_a")), "a")
+            .join(full.select(F.col("row").alias("b"), F.col("shingles").alias("set_b")), "b")
+            .select("a", "b", "set_a", "set_b")
+            .mapInArrow(_confirm(share), "a long, b long, good boolean")
         )
-        pairs = scratch.write(pairs, f"pairs-{turn}")
-        fresh = pairs.select("a", "b").distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["a", "b"], "left_anti")
-        fresh = scratch.write(fresh, f"fresh-{turn}")
-        if not fresh.isEmpty():
-            full = sets.of(fresh)
-            checked = (
-                fresh.join(full.select(F.col("row").alias("a"), F.col("shingles").alias("set_a")), "a")
-                .join(full.select(F.col("row").alias("b"), F.col("shingles").alias("set_b")), "b")
-                .select("a", "b", "set_a", "set_b")
-                .mapInArrow(_confirm(share), "a long, b long, good boolean")
-            )
-            checked = scratch.write(checked, f"checked-{turn}")
-            tried = checked if tried is None else tried.unionByName(checked)
-            roots = scratch.write(
-                components(scratch, tried.where("good").select("a", "b"), f"stars-{turn}"),
-                f"roots-{turn}",
-            )
-        open_leaves = pairs.where("more").select("leaf").distinct()
-        if open_leaves.isEmpty():
-            break
-        asked_leaves = leaves.join(open_leaves, "leaf", "left_semi")
-        turn += 1
+        return scratch.write(checked.where("good").select("a", "b"), name)
+
+    alone = leaves.join(sketches.withColumn("root", F.col("row")), "row")
+    forest = scratch.write(
+        in_leaves(alone, _spanning, {"a": "long", "b": "long", "more": "boolean"}), "forest"
+    )
+    links = confirmed(forest.select("a", "b").distinct(), "links")
+    roots = scratch.write(components(scratch, links, "stars"), "roots")
+    open_leaves = forest.where("more").select("leaf").distinct()
+    if not open_leaves.isEmpty():
+        joined = leaves.join(open_leaves, "leaf", "left_semi").join(sketches, "row")
+        joined = joined.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+        asked = scratch.write(in_leaves(joined, _open, {"row": "long"}), "open")
+        if not asked.isEmpty():
+            short = sets.of(asked.select("row").distinct()).select("row", "short")
+            members = asked.join(joined, ["leaf", "row"]).join(short, "row")
+            found = in_leaves(members, _linked, {"a": "long", "b": "long"})
+            found = scratch.write(found.select("a", "b").distinct(), "found")
+            more = confirmed(found, "more-links")
+            links = links.unionByName(more)
+            roots = scratch.write(components(scratch, links, "more-stars"), "more-roots")
     return _classes(signed, reps, roots)
 
 
@@ -439,14 +464,11 @@ def drop_near(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFr
     return rows.where("__n <= __stay").select("__row.*")
 
 
-def _classes(signed: DataFrame, reps: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _classes(signed: DataFrame, reps: DataFrame, roots: DataFrame) -> DataFrame:
     """Each row with the smallest doc_id of its component."""
     known = reps.select("set_key", F.col("row").alias("rep"))
-    if roots is None:
-        known = known.withColumn("root", F.col("rep"))
-    else:
-        known = known.join(roots.withColumnRenamed("row", "rep"), "rep", "left")
-        known = known.withColumn("root", F.coalesce("root", "rep"))
+    known = known.join(roots.withColumnRenamed("row", "rep"), "rep", "left")
+    known = known.withColumn("root", F.coalesce("root", "rep"))
     # folded per set first: a set with very many copies reaches the join as one row
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     best = signed.where("n_shingles > 0").groupBy("set_key").agg(F.min(order).alias("best"))
