@@ -24,7 +24,7 @@ from ticketlens.llm.arrowtext import flat, runs
 from ticketlens.llm.token_ids import KINDS, kinds_of, lowered
 
 #: Labelled texts per language that the model is fitted on, and languages at most.
-PER_LANGUAGE = 1000
+PER_LANGUAGE = 500
 MAX_LANGUAGES = 200
 
 ORDERS = (1, 2, 3)
@@ -79,16 +79,20 @@ class Model:
     usual: np.ndarray | None = None
 
     def vectors(self, found: np.ndarray) -> np.ndarray:
-        damped = np.log1p(found) * self.weights
-        norm = np.linalg.norm(damped, axis=1, keepdims=True)
-        return damped / np.where(norm > 0, norm, 1)
+        """Unit vectors of the counts, in the place of the counts."""
+        np.log1p(found, out=found)
+        found *= self.weights
+        norm = np.linalg.norm(found, axis=1, keepdims=True)
+        found /= np.where(norm > 0, norm, 1)
+        return found
 
     def predict(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the language, cosine, and whether the text is rejected."""
+        length = np.minimum(_length_class(found), len(self.usual) - 1)
         near = self.vectors(found) @ self.centroids.T
         best = near.argmax(axis=1)
         score = np.clip(near[np.arange(len(near)), best], 0, 1)
-        least = REJECT * self.usual[np.minimum(_length_class(found), len(self.usual) - 1)]
+        least = REJECT * self.usual[length]
         return self.owner[best], score, score < least
 
 
@@ -146,7 +150,7 @@ def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) ->
 
     rows = sample(docs, labelled, per_language).select("lang", "text")
     rows = rows.mapInArrow(count, "lang string, slots binary, counts binary").collect()
-    rows = sorted((r["lang"], bytes(r["slots"]), bytes(r["counts"])) for r in rows if r["slots"])
+    rows = sorted((r["lang"], r["slots"], r["counts"]) for r in rows if r["slots"])
     if not rows:
         return Model()
     found = np.zeros((len(rows), BUCKETS), np.float32)
@@ -155,13 +159,13 @@ def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) ->
     model = Model(sorted({lang for lang, _, _ in rows}))
     held = (found > 0).sum(axis=0)
     model.weights = (np.log((1 + len(rows)) / (1 + held)) + 1).astype(np.float32)
+    length = _length_class(found)
     vectors = model.vectors(found)
     owner = np.array([model.languages.index(lang) for lang, _, _ in rows])
     parts = [_cluster(vectors[owner == n], CENTROIDS) for n in range(len(model.languages))]
     model.centroids = np.concatenate(parts).astype(np.float32)
     model.owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
     best = (vectors @ model.centroids.T).max(axis=1)
-    length = _length_class(found)
     model.usual = np.zeros(int(length.max()) + 1, np.float32)
     # short texts reach less; a class without enough texts takes what shorter ones reach
     least = 0.0
