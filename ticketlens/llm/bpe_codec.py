@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from ticketlens.llm.arrowtext import coded, flat, gather, runs
+from ticketlens.llm.shipping import ship
 from ticketlens.llm.token_ids import LETTERS, PieceEncoder, lowered
 
 _NONE = np.int64(-1)
@@ -424,5 +425,6 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 names=["doc_id", "ids", "decoded"],
             )
 
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")

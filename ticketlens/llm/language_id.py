@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlens.llm.arrowtext import flat, runs
+from ticketlens.llm.shipping import ship
 from ticketlens.llm.token_ids import KINDS, kinds_of, lowered
 
 #: Labelled texts per language that the model is fitted on, and languages at most.
@@ -148,6 +149,7 @@ def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) ->
                     names=["lang", "slots", "counts"],
                 )
 
+    ship(docs.sparkSession)
     rows = sample(docs, labelled, per_language).select("lang", "text")
     rows = rows.mapInArrow(count, "lang string, slots binary, counts binary").collect()
     rows = sorted((r["lang"], r["slots"], r["counts"]) for r in rows if r["slots"])
@@ -200,6 +202,7 @@ def predict(
     text when nothing was labelled. Repeated rows get a prediction each, an empty table none. All of a text
     is counted, however long it is. Other columns are ignored.
     """
+    ship(docs.sparkSession)
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
     kept = [rows.schema[name] for name in keep]
     schema = T.StructType(kept)

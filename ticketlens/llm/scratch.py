@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketlens.llm.shipping import ship
 from ticketlens.sources.shared import delete_folder, scratch_path
 
 
@@ -16,6 +17,7 @@ class Scratch:
     """Tables of one operator call, below one new folder."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.folder = scratch_path(spark, name)
 

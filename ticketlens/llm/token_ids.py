@@ -14,7 +14,8 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-from ticketlens.llm.arrowtext import LOWER, coded, cuts_between, flat, gather
+from ticketlens.llm.arrowtext import LOWER, coded, cuts_between, flat, gather, runs
+from ticketlens.llm.shipping import ship
 
 _SPACE, _LETTER, _DIGIT, _MARK, _WIDE = 1, 2, 3, 4, 5
 
@@ -188,8 +189,7 @@ def encode_rows(docs, path: str, end_id: int | None = None, narrow: bool = True)
     NULL text counts as empty. ``end_id`` is put behind each document's ids. ``narrow`` takes 16 bits
     per id and needs a vocabulary below 65,536.
     """
-    from ticketlens.llm.arrowtext import runs
-
+    ship(docs.sparkSession)
     kind = np.dtype("<u2" if narrow else "<u4")
 
     def encode(batches):
