@@ -33,7 +33,7 @@ BUCKETS = 1 << 13
 CENTROIDS = 4
 ROUNDS = 10
 #: A text is rejected when its cosine is below this share of what labelled texts of its length reach.
-REJECT = 0.4
+REJECT = 0.2
 
 UNKNOWN = "und"
 _TEXTS = 256
