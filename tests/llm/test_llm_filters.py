@@ -1,6 +1,7 @@
 """Duplicates, secrets, quality rules and chat windows against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -117,6 +118,35 @@ def test_large_groups_of_near_copies_stay_linear(spark, monkeypatch):
     assert got == sorted(brute_components(made, 2))
 
 
+def star_family(size, base_at, seed=5):
+    """Copies with eight of 200 words edited, 0.85 like the base and 0.72 like each other."""
+    draw, base, made = random.Random(seed), [f"w{k}" for k in range(200)], []
+    for n in range(size):
+        text = list(base)
+        for k in draw.sample(range(200), 8) if n != base_at else ():
+            text[k] = f"x{n}-{k}"
+        made.append((n, " ".join(text)))
+    return made
+
+
+@pytest.mark.parametrize("trees", [1, 12])
+def test_large_star_around_a_later_row_is_linked_whole(spark, monkeypatch, trees):
+    """Members of a node of several dealt leaves that link to the base alone, in whichever leaf it is."""
+    monkeypatch.setattr(near_dedup, "LEAF", 8)
+    monkeypatch.setattr(near_dedup, "DEALT", 16)
+    made = star_family(150, 97)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = near_dedup.link(docs, 2, trees=trees, levels=1).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found)
+    wanted = sorted(brute_components(made, 2))
+    if trees > 1:
+        assert got == wanted
+    else:  # one tree finds what agrees with the base at its position, and all of that
+        classes = [c for _, _, c in got]
+        assert max(map(classes.count, classes)) > 100
+    assert len({c for _, _, c in wanted}) < 5
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (300, 200)]
     found = components(Scratch(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c").collect()

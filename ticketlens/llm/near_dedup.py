@@ -5,8 +5,8 @@ representative. Each representative has minhashes, 64 of them to branch by. Seve
 branch the representatives: a node picks one or two minhash positions by its own hash, and a document
 goes to the child that its minhash there names. A child per 1 / 0.8 of the positions on average keeps a
 pair at the threshold together with a chance that does not fade with depth. Nodes that are small are
-leaves; large ones branch again. Nodes still large at the last level hold texts that agree
-nearly everywhere: they are dealt into leaves that all share one member.
+leaves; large ones branch again. Nodes still large at the last level are dealt into leaves that all
+share one member, which joins most of the texts that agree nearly everywhere.
 
 In a leaf, a byte of each of 256 minhashes estimates the similarity of every pair. The leaf hands out a
 spanning forest of its likely pairs; these are confirmed on the full sets, and the confirmed links give
@@ -14,6 +14,10 @@ components. Where likely pairs still join different components, the sets of just
 leaf, which compares them all there and hands out a forest of what it finds, confirmed in the same
 way. So a group of copies costs pairs in proportion to its size, never to its square, and no likely
 link goes unchecked unless its ends are joined already.
+
+What dealing has not joined in a large node is then compared in full: members outside the node's largest
+component meet every other member, in leaves for each pair of blocks, spread over tasks. These rows
+grow with the product of the two sides, so with the square of a large node whose members are not alike.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlens.llm.arrowtext import LOWER, flat, runs, words
@@ -181,8 +185,11 @@ def _sizes(members: DataFrame) -> DataFrame:
     return counted.where("size > 1")
 
 
-def _leaves(scratch: Scratch, reps: DataFrame, trees: int, levels: int) -> DataFrame:
-    """Columns leaf and row: the members of every leaf of every tree."""
+def _leaves(
+    scratch: Scratch, reps: DataFrame, trees: int, levels: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The members of every leaf of every tree, of the leaves that large last nodes are dealt into
+    (columns leaf and row), and of these nodes themselves (node and row)."""
     hashes = reps.select("row", "minhashes")
     members = hashes.mapInArrow(_branch(trees), "row long, node long")
     leaves, level = [], 1
@@ -203,9 +210,48 @@ def _leaves(scratch: Scratch, reps: DataFrame, trees: int, levels: int) -> DataF
     around = dealt.select("leaf", F.col("pivot").alias("row")).distinct()
     last = dealt.select("leaf", "row").unionByName(around).distinct()
     every = leaves[0]
-    for more in [*leaves[1:], last]:
+    for more in leaves[1:]:
         every = every.unionByName(more)
-    return scratch.write(every, "leaves")
+    return (
+        scratch.write(every, "leaves"),
+        scratch.write(last, "dealt"),
+        scratch.write(large.select("node", "row"), "large"),
+    )
+
+
+def _blocks(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Columns leaf and row: leaves in which all members of a large node meet that are not joined yet."""
+    members = large.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    counted = members.groupBy("node", "root").agg(F.count("*").alias("n"))
+    nodes = counted.groupBy("node").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("size")
+    )
+    nodes = nodes.where("size > most.n").select(
+        "node",
+        F.col("most.root").alias("main"),
+        F.ceil(F.col("most.n") / DEALT).alias("mains"),
+        F.ceil((F.col("size") - F.col("most.n")) / DEALT).alias("rests"),
+    )
+    members = members.join(nodes, "node").withColumn("rest", F.col("root") != F.col("main"))
+    hashed, own = F.xxhash64("row", "node"), F.col("own")
+    members = members.withColumn(
+        "own", F.when(F.col("rest"), F.pmod(hashed, "rests")).otherwise(F.pmod(hashed, "mains"))
+    )
+    rests, mains = (F.sequence(F.lit(0).cast("long"), F.col(n) - 1) for n in ("rests", "mains"))
+
+    def leaf(one: Column, two: Column, both: bool) -> Column:
+        return F.xxhash64(F.col("node"), one, two, F.lit(both))
+
+    # a block of the rest meets itself in its leaves with the largest component
+    others = F.filter(rests, lambda k: k != own)
+    met = F.when(
+        F.col("rest"),
+        F.concat(
+            F.transform(mains, lambda k: leaf(own, k, False)),
+            F.transform(others, lambda k: leaf(F.least(own, k), F.greatest(own, k), True)),
+        ),
+    ).otherwise(F.transform(rests, lambda k: leaf(k, own, False)))
+    return members.select(F.explode(met).alias("leaf"), "row")
 
 
 def _forest(close: np.ndarray) -> list[tuple[int, int]]:
@@ -226,9 +272,10 @@ def _forest(close: np.ndarray) -> list[tuple[int, int]]:
 def _likely(leaf: dict[str, np.ndarray], share: int) -> np.ndarray:
     """Estimates of the pairs that may be links between different components, 0 for all others."""
     sketches, sizes, roots = leaf["sketch"], leaf["n_shingles"], leaf["root"]
-    close = np.empty((len(roots), len(roots)), np.float32)
-    for n in range(len(roots)):
-        close[n] = (sketches == sketches[n]).mean(axis=1)
+    close = np.zeros((len(roots), len(roots)), np.float32)
+    _, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    for n in np.flatnonzero(of != counts.argmax()):  # members of the largest component are joined
+        close[n] = close[:, n] = (sketches == sketches[n]).mean(axis=1)
     small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
     close[(close < LIKELY) | (100 * small < share * large)] = 0
     close[roots[:, None] == roots[None, :]] = 0
@@ -409,7 +456,7 @@ def link(
         "row", "doc_id", "text_key", "n_shingles", "set_key", "minhashes", "sketch"
     )
     reps = scratch.write(reps, "representatives")
-    leaves = _leaves(scratch, reps, trees, levels)
+    leaves, dealt, large = _leaves(scratch, reps, trees, levels)
     sketches = reps.select("row", "n_shingles", "sketch")
     sets = _Sets(scratch, docs, reps, width)
 
@@ -429,25 +476,47 @@ def link(
         )
         return scratch.write(checked.where("good").select("a", "b"), name)
 
-    alone = leaves.join(sketches.withColumn("root", F.col("row")), "row")
-    forest = scratch.write(
-        in_leaves(alone, _spanning, {"a": "long", "b": "long", "more": "boolean"}), "forest"
-    )
-    links = confirmed(forest.select("a", "b").distinct(), "links")
-    roots = scratch.write(components(scratch, links, "stars"), "roots")
+    def placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+        members = members.join(sketches, "row").join(roots, "row", "left")
+        return members.withColumn("root", F.coalesce("root", "row"))
+
+    def spanned(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        fields = {"a": "long", "b": "long", "more": "boolean"}
+        forest = scratch.write(in_leaves(members, _spanning, fields), f"{name}forest")
+        return forest, confirmed(forest.select("a", "b").distinct(), f"{name}links")
+
+    def opened(members: DataFrame, name: str) -> DataFrame | None:
+        asked = scratch.write(in_leaves(members, _open, {"row": "long"}), f"{name}open")
+        if asked.isEmpty():
+            return None
+        short = sets.of(asked.select("row").distinct()).select("row", "short")
+        members = asked.join(members, ["leaf", "row"]).join(short, "row")
+        found = in_leaves(members, _linked, {"a": "long", "b": "long"})
+        found = scratch.write(found.select("a", "b").distinct(), f"{name}found")
+        return confirmed(found, f"{name}more-links")
+
+    def rooted(links: DataFrame, name: str) -> DataFrame:
+        return scratch.write(components(scratch, links, f"{name}stars"), f"{name}roots")
+
+    alone = leaves.unionByName(dealt).join(sketches.withColumn("root", F.col("row")), "row")
+    forest, links = spanned(alone, "")
+    roots = rooted(links, "")
     open_leaves = forest.where("more").select("leaf").distinct()
     if not open_leaves.isEmpty():
-        joined = leaves.join(open_leaves, "leaf", "left_semi").join(sketches, "row")
-        joined = joined.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
-        asked = scratch.write(in_leaves(joined, _open, {"row": "long"}), "open")
-        if not asked.isEmpty():
-            short = sets.of(asked.select("row").distinct()).select("row", "short")
-            members = asked.join(joined, ["leaf", "row"]).join(short, "row")
-            found = in_leaves(members, _linked, {"a": "long", "b": "long"})
-            found = scratch.write(found.select("a", "b").distinct(), "found")
-            more = confirmed(found, "more-links")
+        more = opened(placed(leaves.join(open_leaves, "leaf", "left_semi"), roots), "")
+        if more is not None:
+            links = links.unionByName(more)
+            roots = rooted(links, "more-")
+    blocks = scratch.write(_blocks(large, roots), "blocks")
+    if not blocks.isEmpty():
+        _, more = spanned(placed(blocks, roots), "block-")
+        links = links.unionByName(more)
+        roots = rooted(links, "block-")
+        blocks = scratch.write(_blocks(large, roots), "open-blocks")
+        more = opened(placed(blocks, roots), "block-")
+        if more is not None:
             links = links.unionByName(more)
-            roots = scratch.write(components(scratch, links, "more-stars"), "more-roots")
+            roots = rooted(links, "last-")
     return _classes(signed, reps, roots)
 
 
