@@ -129,5 +129,172 @@ LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
 """
 
 
+# Windows by their words; each one but the first marks its twenty words.
+OP11 = r"""
+WITH texts AS (
+    SELECT doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, unnest([w[i:i + 19] for i in range(1, len(w) - 18)]) AS said
+    FROM texts
+),
+repeats AS (
+    SELECT doc_id, s FROM windows
+    QUALIFY row_number() OVER (PARTITION BY said ORDER BY doc_id, s) > 1
+),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(20)) AS place FROM repeats),
+lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS said FROM words ANTI JOIN gone USING (doc_id, place)
+    GROUP BY doc_id
+)
+SELECT doc_id,
+       len(w) AS n_words,
+       coalesce(len(places), 0) AS n_removed,
+       sha256(coalesce(said, '')) AS kept_sha256
+FROM texts LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP12 = r"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t,
+           sha256('42:' || doc_id) AS h
+    FROM documents
+),
+drawn AS (
+    SELECT *, [('0x' || h[8 * k + 1:8 * k + 8])::BIGINT for k in range(4)] AS d FROM split
+),
+cut AS (
+    SELECT *, least(d[1] % (len(t) + 1), d[2] % (len(t) + 1)) AS a,
+              greatest(d[1] % (len(t) + 1), d[2] % (len(t) + 1)) AS b
+    FROM drawn
+),
+formed AS (
+    SELECT *,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR d[3] % 100 >= 50 THEN 'plain'
+                WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(t[1:a], '') AS prefix,
+           array_to_string(t[a + 1:b], '') AS middle,
+           array_to_string(t[b + 1:], '') AS suffix
+    FROM cut
+)
+SELECT doc_id, len(t) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM formed
+"""
+
+# The cheapest repair so far for each role that may come last: s0 none, s1 system, s2 user, s3 assistant; each has
+# cost, edits and the turns that stay. Insertions come before a turn is taken: u from s0, s1, s3; v from s2 or u.
+OP13 = r"""
+WITH RECURSIVE plain AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS key
+    FROM conversations
+),
+slots AS (
+    SELECT *,
+           xor(list_reduce([4294967295::BIGINT] || [ascii(decode(key)[i]) for i in range(1, octet_length(key) + 1)],
+                           lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+                               lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))),
+               4294967295) % 20 AS slot
+    FROM plain
+),
+damaged AS (
+    SELECT conv_id, turn,
+           CASE slot WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE slot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE slot WHEN 3 THEN [1, 2] ELSE [1] END) AS time
+    FROM slots WHERE slot <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged
+),
+judged AS (
+    SELECT *,
+           role[1:1] AS initial,
+           lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1:1] AS pair,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again
+    FROM placed
+),
+faults AS (
+    SELECT *, said = '' AS blank, said <> '' AND again AS duplicate,
+           said <> '' AND NOT again AND said[-1:] NOT IN ('.', '!', '?') AS truncated
+    FROM judged
+),
+arcs AS (
+    SELECT conv_id, n, role, text, role || ':' || text AS kept, initial,
+           CASE WHEN truncated THEN 1 ELSE 0 END + CASE WHEN blank OR duplicate THEN 1000000 ELSE 0 END AS stay
+    FROM faults
+),
+walk AS (
+    SELECT conv_id, 0::BIGINT AS n,
+           {'c': 0, 'a': '', 'r': []::VARCHAR[]} AS s0,
+           {'c': 1000000, 'a': '', 'r': []::VARCHAR[]} AS s1,
+           {'c': 1000000, 'a': '', 'r': []::VARCHAR[]} AS s2,
+           {'c': 1000000, 'a': '', 'r': []::VARCHAR[]} AS s3
+    FROM faults GROUP BY conv_id
+    UNION ALL
+    SELECT w.conv_id, t.n,
+           {'c': w.s0.c + 3, 'a': w.s0.a || 'D', 'r': w.s0.r} AS s0,
+           least({'c': w.s1.c + 3, 'a': w.s1.a || 'D', 'r': w.s1.r},
+                 {'c': w.s0.c + t.stay + CASE WHEN initial = 's' THEN 0 ELSE 1000000 END,
+                  'a': w.s0.a || 'K', 'r': w.s0.r || [t.kept]}) AS s1,
+           least({'c': w.u.c + 3, 'a': w.u.a || 'D', 'r': w.u.r},
+                 {'c': w.b.c + t.stay + CASE WHEN initial = 'u' THEN 0 ELSE 1000000 END,
+                  'a': w.b.a || 'K', 'r': w.b.r || [t.kept]},
+                 {'c': w.b.c + t.stay + 2, 'a': w.b.a || 'R', 'r': w.b.r || ['user:' || t.text]}) AS s2,
+           least({'c': w.v.c + 3, 'a': w.v.a || 'D', 'r': w.v.r},
+                 {'c': w.u.c + t.stay + CASE WHEN initial = 'a' THEN 0 ELSE 1000000 END,
+                  'a': w.u.a || 'K', 'r': w.u.r || [t.kept]},
+                 {'c': w.u.c + t.stay + 2, 'a': w.u.a || 'R', 'r': w.u.r || ['assistant:' || t.text]}) AS s3
+    FROM (SELECT *, least(s0, s1, v) AS b
+          FROM (SELECT *, least(s3, {'c': u.c + 2, 'a': u.a || 'I', 'r': u.r || ['assistant:']}) AS v
+                FROM (SELECT *, least(s2, {'c': e.c + 2, 'a': e.a || 'I', 'r': e.r || ['user:']}) AS u
+                      FROM (SELECT *, least(s0, s1, s3) AS e FROM walk)))) AS w
+    JOIN arcs AS t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n + 1
+),
+ends AS (
+    SELECT conv_id, least(s0, s3, {'c': u.c + 2, 'a': u.a || 'I', 'r': u.r || ['assistant:']}) AS best
+    FROM (SELECT *, least(s2, {'c': s1.c + 2, 'a': s1.a || 'I', 'r': s1.r || ['user:']}) AS u FROM walk)
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1
+),
+counted AS (
+    SELECT conv_id,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE blank) AS blank,
+           count(*) FILTER (WHERE duplicate) AS duplicate,
+           count(*) FILTER (WHERE truncated) AS truncated,
+           count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT o.conv_id,
+       coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(array_to_string(best.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counted AS f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends AS e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_windows": OP2, "op6_exact_dedup": OP6, "op9_near_dedup": OP9}
+    return {
+        "op2_chat_windows": OP2,
+        "op6_exact_dedup": OP6,
+        "op9_near_dedup": OP9,
+        "op11_substring_dedup": OP11,
+        "op12_fill_middle": OP12,
+        "op13_conversation_repair": OP13,
+    }

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from ticketlens.llm import (
     bpe_codec,
     chat_windows,
+    conversation_repair,
     divergence_rules,
     exact_dedup,
+    fill_middle,
     katz_lm,
     language_id,
     near_dedup,
     packing,
     rans_output,
     secret_links,
+    substring_dedup,
 )
 from ticketlens.llm.oracles import oracle_sql  # noqa: F401
 from ticketlens.llm.scratch import Scratch
@@ -129,6 +132,38 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(_table(spark, sf_dir, "documents"))
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    report, edits = conversation_repair.repair(conversation_repair.damage(turns))
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    parts = turns.select("conv_id").unionByName(report, allowMissingColumns=True)
+    parts = parts.unionByName(conversation_repair.digest(edits), allowMissingColumns=True)
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_rans_output,
@@ -141,5 +176,8 @@ def queries() -> dict[str, Query]:
         op8_bpe_codec,
         op9_near_dedup,
         op10_secret_links,
+        op11_substring_dedup,
+        op12_fill_middle,
+        op13_conversation_repair,
     )
     return {query.__name__: query for query in found}
