@@ -129,16 +129,20 @@ LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
 """
 
 
-# Windows by their words; each one but the first marks its twenty words.
+# Windows by the numbers of their words; each one but the first marks its twenty words.
 OP11 = r"""
 WITH texts AS (
     SELECT doc_id,
            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts),
+numbered AS (SELECT doc_id, place, dense_rank() OVER (ORDER BY word) AS k FROM words),
 windows AS (
-    SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, unnest([w[i:i + 19] for i in range(1, len(w) - 18)]) AS said
-    FROM texts
+    SELECT doc_id, place AS s, list(k) OVER next20 AS said
+    FROM numbered
+    WINDOW next20 AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+    QUALIFY count(*) OVER next20 = 20
 ),
 repeats AS (
     SELECT doc_id, s FROM windows
@@ -146,7 +150,6 @@ repeats AS (
 ),
 gone AS (SELECT DISTINCT doc_id, s + unnest(range(20)) AS place FROM repeats),
 lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
-words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts),
 kept AS (
     SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS said FROM words ANTI JOIN gone USING (doc_id, place)
     GROUP BY doc_id
