@@ -1,10 +1,12 @@
 import random
 
 import pytest
+from plans import plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketlens.operators import ranking
+from ticketlens.plans import analysis
 
 
 @pytest.fixture(autouse=True, scope="module")
@@ -82,3 +84,27 @@ def test_tile_formula(spark, tiles):
         F.ntile(tiles).over(Window.partitionBy("n").orderBy("i")).alias("expected"),
     )
     assert got.where("tile <> expected OR tile IS NULL").isEmpty()
+
+
+@pytest.mark.parametrize(("name", "scores"), list(_cases()), ids=lambda v: v if isinstance(v, str) else "")
+@pytest.mark.parametrize("n", [1, 7, 120])
+def test_the_first_rows_are_ranked_as_among_all(spark, name, scores, n):
+    df = entities(spark, scores)
+    every = ranks(by_windows(df, 4))
+    first = sorted(every, key=lambda k: (-dict(zip((f"E{i:05d}" for i in range(len(scores))), scores, strict=True))[k], k))[:n]
+    assert ranks(ranking.top_ranked(df, "score", ("id",), n)) == {k: every[k] for k in first}
+
+
+def test_top_rows_need_no_range_exchange_and_no_written_table(star):
+    plan = plan_of(analysis.agent_leaderboard(star.tickets, star.agents))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "slices" not in plan
+    quartiles = analysis.agent_quartiles(star.tickets, star.agents)
+    assert "rangepartitioning" not in plan_of(quartiles.select("agents")) and "Window" not in plan_of(quartiles)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 10, 11])
+@pytest.mark.parametrize("tiles", [1, 4, 7])
+def test_tile_sizes_by_count(spark, n, tiles):
+    got = {r["tile"]: r["rows"] for r in ranking.tile_sizes(spark.range(n), tiles).collect()}
+    dealt = spark.range(n).select(F.ntile(tiles).over(Window.orderBy("id")).alias("tile"))
+    assert got == {r["tile"]: r["count"] for r in dealt.groupBy("tile").count().collect()}

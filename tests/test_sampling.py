@@ -59,6 +59,24 @@ def test_the_whole_table_is_not_sorted(star):
     assert "Sort" not in plan and "TakeOrdered" not in plan
 
 
+@pytest.mark.parametrize("n", [300, 3000])
+def test_a_sample_reads_the_table_twice_at_most(star, n, monkeypatch):
+    """Once to count, here, and once or twice in the plan of the result, which writes nothing."""
+    monkeypatch.setattr(sampling, "SMALL", 1000)
+    plan = plan_of(sampling.exact_sample(keyed(star), "ticket_id", n, 1), "simple")
+    assert plan.count("FileScan") == (1 if n <= 1000 else 2)
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "Window" not in plan
+
+
+def test_only_the_last_slot_of_a_large_sample_is_ordered(star, monkeypatch):
+    every = [r["ticket_id"] for r in keyed(star).collect()]
+    for slots in (1, 50, 1 << 16):
+        monkeypatch.setattr(sampling, "SMALL", 10)
+        monkeypatch.setattr(sampling, "SLOTS", slots)
+        for n in (11, 1500, len(every) - 1):
+            assert ids(sampling.exact_sample(keyed(star), "ticket_id", n, 42)) == set(sorted(every, key=unit)[:n])
+
+
 def test_sample_of_an_empty_table_is_empty(star):
     nothing = keyed(star).where("1 = 0")
     for n in (5, 50):
@@ -105,6 +123,39 @@ def test_shuffled_keeps_all_rows_in_hash_order(star):
     assert len(got) == star.tickets.count()
 
 
+def test_rows_without_a_key_have_a_place_in_any_partitioning(spark):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 != 0, F.col("id") % 1500).alias("k"), (F.col("id") % 700).alias("x"), F.lit(None).alias("y")
+    )
+    one = sampling.shuffled(rows.repartition(3), "k", 5).collect()
+    other = sampling.shuffled(rows.repartition(17, "x"), "k", 5).collect()
+    assert sorted(r["position"] for r in one) == list(range(1, 6001))
+    assert {r["position"]: (r["k"], r["x"]) for r in one} == {r["position"]: (r["k"], r["x"]) for r in other}
+    assert {r["position"] for r in one if r["k"] is None} == set(range(4001, 6001))
+
+
+def test_equal_rows_are_spread_over_slices(spark):
+    rows = spark.range(8000).select(F.lit(None).cast("string").alias("k"))
+    from ticketlens.operators import ranking
+
+    sizes = []
+    real = ranking._in_slices
+
+    def watched(df, order):
+        placed = real(df, order)
+        sizes.extend(r["count"] for r in placed.groupBy("_slice").count().collect())
+        return placed
+
+    ranking._in_slices = watched
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sampling.shuffled(rows, "k", 1).agg(F.max("position")).first()[0] == 8000
+    finally:
+        ranking._in_slices = real
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 3000
+
+
 def test_key_is_padded_and_never_cut(spark):
     df = spark.createDataFrame([(7,), (1234567,)], "n long")
     got = columns.key_format(df, "n", "CU", 5, "k")

@@ -17,10 +17,18 @@ from ..schema import (
     Rules,
     bucket_labels,
 )
-from ..sources.shared import SharedTables
+from ..sources.published import Published
+from ..sources.shared import SharedTables, fingerprint
 from .cleaning import clean_copies, dedupe_tickets
 from .quality import check_unique
 
+#: Columns by whose values single tickets or groups of them are looked up, and those that rows are clustered by.
+LOOKED_UP = ("agent_id", "channel", "category")
+CLUSTERED = ("agent_id", "category")
+
+#: The tables of a star that are stored, in the order in which they are made.
+TABLES = ("stage", "copies", "clean", "customers", "agents")
+
 
 def customers(clean: DataFrame) -> DataFrame:
     return clean.select(*CUSTOMER_COLUMNS).distinct()
@@ -95,10 +103,11 @@ def _refuse_repeated_key(key: str) -> Callable[[DataFrame], None]:
 class Star:
     """The stage, first copies, clean table and model, each written at first use and then read back.
 
-    The clean table is partitioned by month. The fact is its nine-column projection: Parquet reads
-    only the columns asked for, so a second copy would gain nothing. Tables are named by the rules and the
-    tie-break they were built with, so stars of other rules may share the stage. A dimension key with two
-    attribute values would multiply tickets in joins, so it stops the load, as a primary key would.
+    The clean table is partitioned by month, and clustered in it by agent and category. The fact is its nine-column
+    projection: Parquet reads only the columns asked for, so a second copy would gain nothing. Tables are named
+    by what they were made from: ``source`` (else the stage's plan and files), the rules and the tie-break; stars of
+    other rules share the stage of one source. A dimension key with two attribute values would multiply
+    tickets in joins, so it stops the load, as a primary key would.
     """
 
     def __init__(
@@ -107,35 +116,49 @@ class Star:
         stage: Callable[[], DataFrame],
         rules: Rules = Rules(),
         tiebreak=(),
+        source: str | None = None,
     ):
         self._tables = tables
         self._stage = stage
         self._rules = rules
         self._tiebreak = tuple(tiebreak)
+        self._source = source
+
+    @property
+    def source(self) -> str:
+        if self._source is None:
+            staged = self._stage()
+            self._stage, self._source = (lambda: staged), fingerprint(staged)
+        return self._source
+
+    def name(self, table: str) -> str:
+        """The stored name of a table of this star."""
+        made_from: tuple = (self.source,)
+        if table != "stage":
+            made_from += (self._tiebreak,)
+        if table not in ("stage", "copies"):
+            made_from += (self._rules,)
+        return f"{table}-{hashlib.md5(repr(made_from).encode()).hexdigest()[:12]}"
 
     def table(self, name: str, build: Callable[[], DataFrame], **how) -> DataFrame:
-        """A table of this star, kept apart from those of stars with other rules."""
-        made_from = repr((self._rules, self._tiebreak)).encode()
-        return self._tables.table(f"{name}-{hashlib.md5(made_from).hexdigest()[:12]}", build, **how)
+        """A table of this star, kept apart from those of stars with other sources or rules."""
+        return self._tables.table(self.name(name), build, **how)
 
     @property
     def stage(self) -> DataFrame:
-        return self._tables.table("stage", self._stage)
+        return self.table("stage", lambda: self._stage())
 
     @property
     def copies(self) -> DataFrame:
         """The first copy of every ticket, as staged: whole rows are deduplicated once."""
-        order = hashlib.md5(repr(self._tiebreak).encode()).hexdigest()[:12]
-        return self._tables.table(
-            f"copies-{order}", lambda: dedupe_tickets(self.stage, self._tiebreak)
-        )
+        return self.table("copies", lambda: dedupe_tickets(self.stage, self._tiebreak))
 
     @property
     def clean(self) -> DataFrame:
         def build() -> DataFrame:
             return with_month(clean_copies(self.copies, self._rules))
 
-        return self.table("clean", build, partition=MONTH)
+        return self.table("clean", build, partition=MONTH, cluster=CLUSTERED, lookup=LOOKED_UP)
 
     @property
     def customers(self) -> DataFrame:
@@ -165,13 +188,13 @@ class Star:
 
     def load(self) -> Star:
         """Write every table now instead of at first use."""
-        for name in ("stage", "copies", "clean", "customers", "agents"):
+        for name in TABLES:
             getattr(self, name)
         return self
 
 
 def register_views(spark: SparkSession, star: Star) -> None:
-    """Make the model readable by name, as the reporting layer does."""
+    """Make the model readable by name within one session, as the reporting layer does."""
     views = {
         "customers": star.customers,
         "agents": star.agents,
@@ -180,3 +203,58 @@ def register_views(spark: SparkSession, star: Star) -> None:
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+
+
+def publish(
+    to: Published,
+    stage: Callable[[], DataFrame],
+    rules: Rules = Rules(),
+    tiebreak=(),
+    database: str | None = None,
+    threshold=THRESHOLD_HOURS,
+) -> Star:
+    """Rebuild the whole model beside the published one, and switch to it once every table is written and checked.
+
+    Until then, and for good if anything fails, readers see the version before. With ``database`` its catalogue
+    tables and views (``customers``, ``agents``, ``tickets``, ``v_ticket_detail``) are moved to the new version,
+    so that any session of the same catalogue finds the model by name.
+    """
+    with to.new_version() as tables:
+        star = Star(tables, stage, rules, tiebreak).load()
+        tables.label({name: star.name(name) for name in TABLES})
+    if database is not None:
+        register_tables(to, database, threshold)
+    return star
+
+
+def register_tables(published: Published, database: str, threshold=THRESHOLD_HOURS) -> None:
+    """Catalogue tables over the published version, and permanent views by which they are read.
+
+    The tables' names hold the version; each view is replaced in one step, and then the tables of versions that
+    are gone are dropped from the catalogue.
+    """
+    spark, version = published.spark, published.current()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    named = {}
+    for name in ("clean", "customers", "agents"):
+        named[name] = f"`{database}`.`{name}_{version.id}`"
+        if not spark.catalog.tableExists(named[name]):
+            spark.catalog.createTable(named[name], path=version.path_of(name), source="parquet")
+            if name == "clean":
+                spark.catalog.recoverPartitions(named[name])
+    within, after = bucket_labels(threshold)
+    bucket = f"""CASE WHEN resolution_hours > {threshold} THEN '{after}'
+        WHEN resolution_hours <= {threshold} THEN '{within}' END AS resolution_bucket"""
+    columns = ", ".join(TICKET_COLUMNS)
+    views = {
+        "customers": f"SELECT {', '.join(CUSTOMER_COLUMNS)} FROM {named['customers']}",
+        "agents": f"SELECT {', '.join(AGENT_COLUMNS)} FROM {named['agents']}",
+        "tickets": f"SELECT {columns} FROM {named['clean']}",
+        "v_ticket_detail": f"SELECT {columns}, customer_region, agent_name, {bucket} FROM {named['clean']}",
+    }
+    for name, query in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {query}")
+    kept = {f"{name}_{one}" for one in published.versions() for name in named}
+    for table in spark.catalog.listTables(database):
+        if table.tableType == "EXTERNAL" and table.name not in kept and table.name.startswith(tuple(f"{n}_" for n in named)):
+            spark.sql(f"DROP TABLE `{database}`.`{table.name}`")

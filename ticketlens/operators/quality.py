@@ -95,15 +95,16 @@ def check_castable(stage: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def check_dim_conflicts(df: DataFrame, pairs) -> DataFrame:
     """For every (key, attribute) pair, how many filled keys carry more than one value.
 
-    All pairs share one pass over the rows.
+    All pairs share one pass and one exchange: a key's least and greatest value differ where it has more than one,
+    and both are kept up while tasks fold their rows, so a hot key is one row of each task.
     """
     named = {f"{key} -> {attribute}": (key, attribute) for key, attribute in pairs}
     cells = [
         F.struct(F.lit(name).alias("pair"), filled(key).alias("k"), filled(attribute).alias("v"))
         for name, (key, attribute) in named.items()
     ]
-    seen = df.select(F.inline(F.array(*cells))).dropna("any").distinct()
-    split = seen.groupBy("pair", "k").count().where("count > 1")
+    seen = df.select(F.inline(F.array(*cells))).dropna("any")
+    split = seen.groupBy("pair", "k").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least <> most")
     return _count_all(split, "dim conflict", {name: F.col("pair") == name for name in named})
 
 

@@ -44,6 +44,46 @@ def rank_entities(
     return rows.select(*df.columns, *named)
 
 
+def top_ranked(
+    df: DataFrame,
+    score: str,
+    tiebreak: tuple[str, ...],
+    n: int,
+    tiles: int = 4,
+    names: tuple[str, str, str] = ("rank", "dense_rank", "tile"),
+) -> DataFrame:
+    """The first ``n`` rows of :func:`rank_entities`, with the same ranks and tiles, without ranking the rest.
+
+    Every row with a greater score stands before a row, so the ranks of the first ``n`` follow from them alone, and
+    a tile follows from the place and one count. Each task keeps its ``n`` best rows; ``n`` should be small.
+    """
+    order = [F.col(score).desc(), *[F.col(c).asc() for c in tiebreak]]
+    best = df.orderBy(*order).limit(n)
+    line = Window.orderBy(*order)  # over n rows
+    by_score = Window.orderBy(order[0])
+    ranks = (
+        F.rank().over(by_score),
+        F.dense_rank().over(by_score),
+        tile_of(F.row_number().over(line).cast("bigint"), df.agg(F.count("*")).scalar(), tiles),
+    )
+    named = [c.cast("bigint").alias(name) for c, name in zip(ranks, names, strict=True)]
+    return best.select(*df.columns, *named)
+
+
+def tile_sizes(df: DataFrame, tiles: int = 4, names: tuple[str, str] = ("tile", "rows")) -> DataFrame:
+    """How many rows fall into each tile that has any: one count says it, whatever the order."""
+    counted = df.agg(F.count("*").alias("_rows"))
+    each = _div(F.col("_rows"), F.lit(tiles).cast("bigint"))
+    sizes = [
+        F.struct(
+            F.lit(tile).cast("bigint").alias(names[0]),
+            (each + F.when(F.col("_rows") % tiles >= tile, 1).otherwise(0)).cast("bigint").alias(names[1]),
+        )
+        for tile in range(1, tiles + 1)
+    ]
+    return counted.select(F.inline(F.array(*sizes))).where(F.col(names[1]) > 0)
+
+
 def _in_slices(df: DataFrame, order: list[Column]) -> DataFrame:
     """The rows range-partitioned by the order, written once so that every reader sees one split."""
     ranged = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .ranking import numbered_in_order
 
-# Slots of the counting pass; their counts are all that reaches the driver.
-SLOTS = 4096
+# Slots of the counting pass; their counts are all that reaches the driver. One holds a thousandth of a sample.
+SLOTS = 1 << 16
+# Rows of a sample that are ordered in one task; of a larger one only those of the last slot are.
+SMALL = 10_000
 
 
 def hash_text(key: str, seed: int) -> Column:
@@ -37,21 +39,25 @@ def _slot(draw: Column) -> Column:
 def _smallest(df: DataFrame, draw: Column, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest draw, equal draws ordered by key; all rows when there are fewer.
 
-    One pass counts the rows per slot of the draw. Slots below the one with the n-th row are taken as
-    they are. Rows of that slot are numbered in slices, so it may hold any number of them.
+    A first pass counts the rows per slot of the draw, so it is known in which slot the n-th one lies. Only rows
+    up to that slot are ever ordered: each task keeps the smallest of its own, and one merges them. For a large sample the
+    slots before the last are taken as they are, and the last one alone is ordered.
     """
     rows = df.where(F.col(key).isNotNull()).withColumn("_draw", draw).withColumn("_slot", _slot(F.col("_draw")))
     below, edge = 0, SLOTS
-    for slot, count in sorted(rows.groupBy("_slot").count().collect()):
+    for slot, count in sorted(map(tuple, rows.groupBy("_slot").count().collect())):
         if below + count > n:
             edge = slot
             break
         below += count
-    taken = rows.where(F.col("_slot") < edge)
-    if edge < SLOTS and below < n:
-        order = [F.col("_draw").asc(), F.col(key).asc()]
-        numbered = numbered_in_order(rows.where(F.col("_slot") == edge), order, "_place")
-        taken = taken.unionByName(numbered.where(F.col("_place") <= n - below).drop("_place"))
+    order = [F.col("_draw").asc(), F.col(key).asc()]
+    if edge == SLOTS:
+        taken = rows
+    elif n <= SMALL:
+        taken = rows.where(F.col("_slot") <= edge).orderBy(*order).limit(n)
+    else:
+        last = rows.where(F.col("_slot") == edge).orderBy(*order).limit(n - below)
+        taken = rows.where(F.col("_slot") < edge).unionByName(last)
     return taken.drop("_draw", "_slot")
 
 
@@ -89,8 +95,16 @@ def nested_weight(factors: Mapping[str, Mapping[str, float]]) -> Column:
 def shuffled(df: DataFrame, key: str, seed: int, position: str = "position") -> DataFrame:
     """All rows with their place in a reproducible random order, counted from 1.
 
-    The places are given in slices; sorting by them is left to the reader. Rows without a key come
-    last, in the order their hash leaves them in, which is none.
+    The places are given in slices; sorting by them is left to the reader. Rows without a key come last, and rows with
+    the same key together; both are ordered by a hash of all their columns, so the same rows get the same
+    places however they are partitioned. Rows equal in every column are interchangeable and spread over slices.
     """
-    order = [hash_text(key, seed).asc_nulls_last(), F.col(key).asc_nulls_last()]
-    return numbered_in_order(df, order, position)
+    content = F.md5(F.concat(F.lit(str(seed)), F.to_json(F.struct(*df.columns))))
+    numbered = df.withColumns({"_content": content, "_any": F.monotonically_increasing_id()})
+    order = [
+        hash_text(key, seed).asc_nulls_last(),
+        F.col(key).asc_nulls_last(),
+        F.col("_content").asc(),
+        F.col("_any").asc(),
+    ]
+    return numbered_in_order(numbered, order, position).drop("_content", "_any")

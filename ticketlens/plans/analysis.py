@@ -14,7 +14,7 @@ from ..functions.dates import month_of
 from ..functions.numeric import exact_ratio, mean, over_groups, percent, ratio
 from ..operators.calendar import calendar_of
 from ..operators.measures import grouped, regrouped
-from ..operators.ranking import rank_entities
+from ..operators.ranking import rank_entities, tile_sizes, top_ranked
 from ..schema import THRESHOLD_HOURS
 
 
@@ -90,13 +90,13 @@ def calendar_monthly(tickets: DataFrame, calendar: DataFrame | None = None) -> D
     return _with_change(months, "month").orderBy("month")
 
 
-def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
-    """Every agent with averages, rank and quartile by unrounded satisfaction.
+def _agent_scores(tickets: DataFrame, agents: DataFrame) -> DataFrame:
+    """Every agent with averages and unrounded satisfaction.
 
     Tickets are folded by agent before the names are joined, so a busy agent is one row there.
     """
     stats = grouped(tickets, "agent_id").join(agents, "agent_id")
-    scored = stats.select(
+    return stats.select(
         "agent_id",
         "agent_name",
         "tickets",
@@ -105,19 +105,29 @@ def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
         _mean("sum_minutes", "tickets", 1).alias("avg_frt_min"),
         exact_ratio(F.col("sum_csat"), F.col("tickets")).alias("score"),
     )
-    names = ("csat_rank", "csat_dense_rank", "csat_quartile")
-    ranked = rank_entities(scored, "score", ("agent_id",), 4, names)
+
+
+_AGENT_RANKS = ("csat_rank", "csat_dense_rank", "csat_quartile")
+
+
+def agent_ranking(tickets: DataFrame, agents: DataFrame) -> DataFrame:
+    """Every agent with averages, rank and quartile by unrounded satisfaction."""
+    scored = _agent_scores(tickets, agents)
+    ranked = rank_entities(scored, "score", ("agent_id",), 4, _AGENT_RANKS)
     return ranked.drop("score", "csat_dense_rank")
 
 
 def agent_leaderboard(tickets: DataFrame, agents: DataFrame, n: int = 15) -> DataFrame:
-    """The best agents. Ranks are given before the cut; equal ranks are listed by agent id."""
-    return agent_ranking(tickets, agents).orderBy("csat_rank", "agent_id").limit(n)
+    """The best agents, with their ranks among all; equal ranks are listed by agent id."""
+    scored = _agent_scores(tickets, agents)
+    best = top_ranked(scored, "score", ("agent_id",), n, 4, _AGENT_RANKS)
+    return best.drop("score", "csat_dense_rank").orderBy("csat_rank", "agent_id")
 
 
 def agent_quartiles(tickets: DataFrame, agents: DataFrame) -> DataFrame:
-    ranked = agent_ranking(tickets, agents)
-    return ranked.groupBy("csat_quartile").agg(F.count("*").alias("agents")).orderBy("csat_quartile")
+    """Agents in each quartile of :func:`agent_ranking`, which one count of them says."""
+    listed = tickets.select("agent_id").distinct().join(agents, "agent_id")
+    return tile_sizes(listed, 4, ("csat_quartile", "agents")).orderBy("csat_quartile")
 
 
 def customer_ranking(tickets: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Each line item is one export row, and one in 53 is there twice. Every defect that cleaning looks for is
 planted by key arithmetic, so any engine derives the same rows: blanks, padded and missing ids,
 texts that are no date or number, values out of range, texts too long, an unknown channel, an agent
-seen on bad rows only, a second region and a second name for a key, hyphenated regions, and scores that
+seen on bad rows only, line breaks, a second region and a second name for a key, hyphenated regions, and scores that
 rounding twice gets wrong. Texts are built from whole numbers, never from doubles.
 """
 
@@ -118,7 +118,7 @@ def mapped_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
             (order_slot == 1, "  "),
             (order_slot == 2, F.lit(None)),
         ),
-        "agent_name": _planted(F.col("s_name"), (bad_score, "Somebody Else"), (unknown_channel, "Outside")),
+        "agent_name": _planted(F.col("s_name"), (bad_score, "Somebody\nElse"), (unknown_channel, "Outside")),
         "channel": _planted(
             F.substr("o_orderpriority", F.lit(3)),
             (unknown_channel, "FAX"),
