@@ -42,6 +42,35 @@ def test_exact_filter_keeps_rows_and_columns(spark):
     assert exact_dedup.find_exact(empty(spark)).count() == exact_dedup.drop_exact(empty(spark)).count() == 0
 
 
+def test_exact_filter_by_broadcast_and_by_shuffle_agree(spark, monkeypatch):
+    texts = F.when(F.col("id") % 3 == 0, "Same").when(F.col("id") % 3 == 1, F.concat(F.lit("t"), F.col("id") % 100))
+    docs = spark.range(900).select(
+        F.when(F.col("id") % 50 != 0, F.col("id") % 400).alias("doc_id"),
+        texts.otherwise(F.col("id").cast("string")).alias("text"),
+        (F.col("id") % 7).alias("other"),
+    )
+    wanted = {}
+    for r in docs.collect():  # the largest doc_id of a text, and of rows that agree in it one
+        key = lower(r["text"])
+        wanted[key] = max(wanted.get(key, -1), -1 if r["doc_id"] is None else r["doc_id"])
+    results = []
+    for heavy, bits, parts in ((1, 1 << 26, 3), (512, 1 << 26, 11), (2, 1 << 15, 5)):
+        monkeypatch.setattr(exact_dedup, "BITS", bits)
+        kept = exact_dedup.drop_exact(docs.repartition(parts), heavy=heavy)
+        results.append(sorted(map(repr, kept.collect())))
+        got = {lower(r["text"]): -1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()}
+        assert got == wanted and len(results[-1]) == len(wanted)
+    assert results[0] == results[1] == results[2]
+
+
+def test_texts_that_occur_once_are_not_shuffled(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.format_string("text %d", F.col("id") % 3990).alias("text"))
+    kept = exact_dedup.drop_exact(docs.union(docs.where("doc_id < 10")))
+    assert kept.count() == 3990
+    plan = kept.queryExecution if hasattr(kept, "queryExecution") else kept._jdf.queryExecution()
+    assert "Union" in plan.executedPlan().toString()
+
+
 def test_hot_copies_are_never_shuffled_whole(spark):
     docs = spark.range(4000).select(
         F.col("id").alias("doc_id"),
@@ -147,6 +176,44 @@ def test_large_star_around_a_later_row_is_linked_whole(spark, monkeypatch, trees
     assert len({c for _, _, c in wanted}) < 5
 
 
+def test_two_families_that_are_nearly_alike_stay_apart(spark, monkeypatch):
+    """Large groups of copies 0.7 like each other: one node holds both, no link joins them, all members count."""
+    monkeypatch.setattr(near_dedup, "LEAF", 8)
+    monkeypatch.setattr(near_dedup, "DEALT", 16)
+    base, made = [f"w{k}" for k in range(100)], []
+    for n in range(120):
+        text = list(base)
+        if n % 2:
+            text[10:20] = [f"v{k}" for k in range(8)]
+        text[-1 - n % 3] = f"x{n}"
+        made.append((n, " ".join(text)))
+    found = near_dedup.link(spark.createDataFrame(made, "doc_id long, text string"), 2).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found)
+    assert got == sorted(brute_components(made, 2))
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_recall_at_the_threshold(spark, width):
+    """600 pairs between 0.80 and 0.84, half of whose words stand in all texts."""
+    draw, made = random.Random(11), []
+    shared = [f"s{k}" for k in range(60)]
+    for n in range(600):
+        one = shared + [f"a{n}-{k}" for k in range(140)]
+        two = list(one)
+        edits = {2: 9, 5: 4}[width]
+        for k in draw.sample(range(70, 200, 6), edits):
+            two[k] = f"b{n}-{k}"
+        made += [(2 * n, " ".join(one)), (2 * n + 1, " ".join(two))]
+    links = 0
+    for n in range(600):
+        one, two = shingle_set(made[2 * n][1], width), shingle_set(made[2 * n + 1][1], width)
+        links += 80 <= 100 * len(one & two) / len(one | two) < 84
+    assert links > 500
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.link(
+        spark.createDataFrame(made, "doc_id long, text string"), width).collect()}
+    assert sum(found[2 * n + 1] == 2 * n for n in range(600)) >= 599
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (300, 200)]
     found = components(Scratch(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c").collect()

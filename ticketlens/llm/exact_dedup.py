@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 from ticketlens.llm.scratch import Scratch
 
+#: Bits of the map that lets texts pass that occur once: eight megabytes, broadcast. With more repeated texts than
+#: it can tell apart more rows are shuffled.
+BITS = 1 << 26
+_MAP = 1 << 15
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Counters of the sketch: a digest above 1 / TRACKED of the rows is always among its items.
@@ -69,16 +74,57 @@ def find_exact(docs: DataFrame, tracked: int = TRACKED, heavy: int = HEAVY) -> D
     )
 
 
+def _bit(digest: Column) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(BITS))
+
+
+def _maps(repeated: DataFrame) -> DataFrame:
+    """A bit for every digest, in maps of 32768 bits; :data:`BITS` bits at most, whatever the rows."""
+    bit = _bit(F.col("text_sha256"))
+    return repeated.groupBy(F.floor(bit / _MAP).alias("__map")).agg(
+        F.bitmap_construct_agg(bit % _MAP).alias("__bits")
+    )
+
+
+def _is_set(bits: Column, bit: Column) -> Column:
+    byte = F.substring(bits, (F.floor(bit % _MAP / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(F.floor(value / F.pow(F.lit(2), bit % 8)) % 2 == 1, F.lit(False))
+
+
 def drop_exact(docs: DataFrame, tracked: int = TRACKED, heavy: int = HEAVY) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one per different text."""
-    key = F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string"))
-    kept = find_exact(docs, tracked, heavy).where("kept").select(key.alias("__key"))
+    """The rows of ``docs`` that stay, with all their columns; one per different text.
+
+    Whole rows are shuffled only where their text occurs again: copies of the most frequent texts are dropped in the map
+    task by the broadcast winners, and a map of bits lets rows through whose digest occurs once. Of rows that
+    agree in doc_id and text the one with the smallest hash of all columns stays. NULL and empty texts are
+    copies of each other, and an empty table stays empty.
+    """
+    scratch = Scratch(docs.sparkSession, "drop-exact")
+    found = scratch.write(find_exact(docs, tracked, heavy).drop("keep_id"), "found").where("group_size > 1")
+    kept = found.where("kept").select("text_sha256", "doc_id", "group_size")
+    winners = kept.orderBy(F.desc("group_size"), "text_sha256").limit(heavy)
+    winners = winners.select(F.col("text_sha256").alias("__digest"), F.col("doc_id").alias("__keep"), F.lit(True).alias("__won"))
     digest = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
-    rows = docs.select(
-        F.struct(*docs.columns).alias("__row"),
-        F.concat_ws(":", digest, F.col("doc_id").cast("string")).alias("__key"),
-    )
-    # rows that agree in doc_id and text are copies of each other: the first one stands for all
-    first = Window.partitionBy("__key").orderBy(F.lit(0))
-    joined = rows.join(kept, "__key").withColumn("__n", F.row_number().over(first))
-    return joined.where("__n = 1").select("__row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id"), digest.alias("__digest"))
+    rows = rows.join(F.broadcast(winners), "__digest", "left")
+    rows = rows.where(F.col("__won").isNull() | F.col("__id").eqNullSafe(F.col("__keep")))
+    rows = rows.withColumn("__bit", _bit(F.col("__digest"))).withColumn("__map", F.floor(F.col("__bit") / _MAP))
+    rows = rows.join(F.broadcast(_maps(found)), "__map", "left")
+    again = _is_set(F.col("__bits"), F.col("__bit"))
+    single = rows.where(~again).select("__row.*")
+
+    def key(digest: str, doc_id: str) -> Column:
+        return F.concat_ws(":", digest, F.col(doc_id).cast("string"))
+
+    # a digest that occurs once may share its bit with another one: its key is not among those that go
+    gone = found.select(key("text_sha256", "doc_id").alias("__key")).distinct()
+    stay = kept.select(key("text_sha256", "doc_id").alias("__key"), F.lit(True).alias("__stays"))
+    fate = gone.join(stay, "__key", "left")
+    content = F.md5(F.to_json("__row"))
+    copies = rows.where(again).select("__row", key("__digest", "__id").alias("__key"), content.alias("__content"))
+    copies = copies.join(fate.withColumn("__known", F.lit(True)), "__key", "left")
+    copies = copies.where("__known IS NULL OR __stays")
+    first = Window.partitionBy("__key").orderBy("__content")
+    copies = copies.withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    return single.unionByName(copies.select("__row.*"))
