@@ -1,7 +1,9 @@
 """The corpus pipeline: raw documents to packed sequences, one stage after the other.
 
 Each stage reads what the one before has written. Stages take and return the columns of documents,
-but the last, which returns the pieces of the packed sequences.
+but the last, which returns the pieces of the packed sequences. NULL texts count as empty: they pass the language
+stage, one of them stays after the exact copies go, and it is packed as its end token alone. Of repeated rows one
+stays after the exact copies go. Empty tables pass as such.
 """
 
 from __future__ import annotations
