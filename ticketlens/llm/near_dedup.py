@@ -1,19 +1,22 @@
 """Near duplicates by a chosen-path similarity join over word shingles.
 
 A document's set is that of its distinct shingles, hashed to 64 bits. Equal sets meet first and go on as one
-representative. Each representative has minhashes, 64 of them to branch by. Several independent trees
-branch the representatives: a node picks one or two minhash positions by its own hash, and a document
+representative. Each representative has minhashes. Several trees, each with minhashes of its own,
+branch the representatives: a node picks one or two positions by its own hash, and a document
 goes to the child that its minhash there names. A child per 1 / 0.8 of the positions on average keeps a
 pair at the threshold together with a chance that does not fade with depth. Nodes that are small are
-leaves; large ones branch again. Nodes still large at the last level are dealt into leaves that all
-share one member, which joins most of the texts that agree nearly everywhere.
+leaves; large ones branch again, until none is large or they no longer shrink. What stays large is dealt into
+leaves that all share one member.
 
 In a leaf, a byte of each of 256 minhashes estimates the similarity of every pair. The leaf hands out a
 spanning forest of its likely pairs; these are confirmed on the full sets, and the confirmed links give
-components. Where likely pairs still join different components, the sets of just those members come to the
-leaf, which compares them all there and hands out a forest of what it finds, confirmed in the same
-way. So a group of copies costs pairs in proportion to its size, never to its square, and no likely
-link goes unchecked unless its ends are joined already.
+components. Where likely pairs still join different components, the full sets of just those members come to the
+leaf, which compares them all there and hands out the links that join components. So a group of copies costs pairs
+in proportion to its size, never to its square, and no likely link goes unchecked unless its ends are joined already.
+
+Groups of copies are linked before the trees branch: representatives that agree in two minhashes meet in
+leaves of a fixed size, and the components these give are known from then on. A node whose members all belong
+to one component is dropped, so that the members of a large group are not carried down every tree.
 
 What dealing has not joined in a large node is then compared in full: members outside the node's largest
 component meet every other member, in leaves for each pair of blocks, spread over tasks. These rows
@@ -37,15 +40,21 @@ from ticketlens.llm.scratch import Scratch
 WIDTH = 5
 #: Pairs are linked when SHARE per cent or more of their union is common.
 SHARE = 80
-HASHES = 64
 SKETCH = 256
 TREES = 12
-LEVELS = 5
+#: Minhashes that each tree has for itself.
+OWN = 16
+HASHES = TREES * OWN
+#: Pairs of minhashes by which copies meet before the trees.
+KEYS = 4
+#: Large nodes branch again as long as that leaves less than this part of their rows in large nodes.
+SHRINK = 0.8
 #: Largest node that is compared in full, and the size that last large nodes are dealt into.
 LEAF = 64
 DEALT = 512
 #: Pairs are confirmed when the estimate is at least this, four deviations below the threshold.
 LIKELY = 0.7
+_COLUMNS = 8192
 _SECOND = 0.25  # chance of a second position: 1.25 children on average, 1 / 0.8
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -127,13 +136,17 @@ def _signatures(width: int):
     return sign
 
 
+_TREE = np.uint64(63)  # a node's low bits name its tree
+
+
 def _positions(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first position a node branches by, whether it takes a second, and that one."""
-    first = mix(nodes ^ np.uint64(0xA5A5)) % np.uint64(HASHES)
-    second = mix(nodes ^ np.uint64(0x5A5A)) % np.uint64(HASHES - 1)
-    second = (first + np.uint64(1) + second) % np.uint64(HASHES)
+    """The first position a node branches by, whether it takes a second, and that one; all of its own tree."""
+    base = (nodes & _TREE) * np.uint64(OWN)
+    first = mix(nodes ^ np.uint64(0xA5A5)) % np.uint64(OWN)
+    second = mix(nodes ^ np.uint64(0x5A5A)) % np.uint64(OWN - 1)
+    second = (first + np.uint64(1) + second) % np.uint64(OWN)
     two = mix(nodes ^ np.uint64(0xC3C3)) < np.uint64(int(_SECOND * 2**64))
-    return first, two, second
+    return (base + first) % np.uint64(HASHES), two, (base + second) % np.uint64(HASHES)
 
 
 def _children(rows: np.ndarray, nodes: np.ndarray, hashes: np.ndarray):
@@ -146,7 +159,7 @@ def _children(rows: np.ndarray, nodes: np.ndarray, hashes: np.ndarray):
         value = hashes[each[chosen], at].astype(np.uint64)
         child = mix(nodes[chosen] * _GOLD + (position[chosen] << np.uint64(32)) + value)
         out_rows.append(rows[chosen])
-        out_nodes.append(child)
+        out_nodes.append((child & ~_TREE) | (nodes[chosen] & _TREE))
     return np.concatenate(out_rows), np.concatenate(out_nodes)
 
 
@@ -167,7 +180,7 @@ def _branch(trees: int | None):
             else:
                 found = []
                 for tree in range(trees):
-                    root = mix(np.full(len(rows), tree + 7, np.uint64))
+                    root = (mix(np.full(len(rows), tree + 7, np.uint64)) & ~_TREE) | np.uint64(tree)
                     found.append(_children(rows, root, hashes))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -180,48 +193,72 @@ def _branch(trees: int | None):
     return branch
 
 
-def _sizes(members: DataFrame) -> DataFrame:
-    counted = members.groupBy("node").agg(F.count("*").alias("size"), F.min("row").alias("pivot"))
-    return counted.where("size > 1")
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys by which copies meet: each is made of two minhashes."""
+    for batch in batches:
+        rows, hashes = batch.column("row").to_numpy(), _hash_rows(batch).astype(np.uint64)
+        keys = [
+            mix(mix(hashes[:, k * OWN] + np.uint64(k)) * _GOLD + hashes[:, k * OWN + 1]) for k in range(KEYS)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.tile(rows, KEYS)), pa.array(np.concatenate(keys).astype(np.int64))], names=["row", "node"]
+        )
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    """Members of the nodes that hold two components at least, with the node's size and one of its rows."""
+    sizes = members.groupBy("node").agg(
+        F.count("*").alias("size"),
+        F.min("row").alias("pivot"),
+        (F.min("root") < F.max("root")).alias("mixed"),
+    )
+    return members.join(sizes.where("mixed").drop("mixed"), "node")
+
+
+def _dealt(large: DataFrame, size: int) -> DataFrame:
+    """Columns leaf and row: large nodes dealt into leaves of about ``size`` that share the node's pivot."""
+    part = F.pmod(F.xxhash64("row", "node"), F.ceil(F.col("size") / size))
+    dealt = large.select(F.xxhash64("node", part).alias("leaf"), "row", "pivot")
+    around = dealt.select("leaf", F.col("pivot").alias("row")).distinct()
+    return dealt.select("leaf", "row").unionByName(around).distinct()
 
 
 def _leaves(
-    scratch: Scratch, reps: DataFrame, trees: int, levels: int
+    scratch: Scratch, reps: DataFrame, roots: DataFrame, trees: int, levels: int | None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The members of every leaf of every tree, of the leaves that large last nodes are dealt into
     (columns leaf and row), and of these nodes themselves (node and row)."""
     hashes = reps.select("row", "minhashes")
     members = hashes.mapInArrow(_branch(trees), "row long, node long")
-    leaves, level = [], 1
+    leaves, level, before = [], 1, None
     while True:
-        members = scratch.write(members, f"level-{level}")
-        sized = scratch.write(members.join(_sizes(members), "node"), f"sized-{level}")
-        scratch.drop(f"level-{level}")
+        sized = scratch.write(_sized(_with_root(members, roots)), f"sized-{level}")
         leaves.append(sized.where(F.col("size") <= LEAF).select(F.col("node").alias("leaf"), "row"))
         large = sized.where(F.col("size") > LEAF)
-        if level == levels or large.isEmpty():
+        now = large.count()
+        if not now or level == levels or (before is not None and now > SHRINK * before):
             break
-        level += 1
+        level, before = level + 1, now
         members = large.select("row", "node").join(hashes, "row")
         members = members.mapInArrow(_branch(None), "row long, node long").distinct()
-    # what the last level leaves large is dealt into leaves around one member of the node
-    part = F.pmod(F.xxhash64("row", "node"), F.ceil(F.col("size") / DEALT))
-    dealt = large.select(F.xxhash64("node", part).alias("leaf"), "row", "pivot")
-    around = dealt.select("leaf", F.col("pivot").alias("row")).distinct()
-    last = dealt.select("leaf", "row").unionByName(around).distinct()
     every = leaves[0]
     for more in leaves[1:]:
         every = every.unionByName(more)
     return (
         scratch.write(every, "leaves"),
-        scratch.write(last, "dealt"),
+        scratch.write(_dealt(large, DEALT), "dealt"),
         scratch.write(large.select("node", "row"), "large"),
     )
 
 
+def _with_root(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with the component they are known to be in: their own row at first."""
+    return members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+
+
 def _blocks(large: DataFrame, roots: DataFrame) -> DataFrame:
     """Columns leaf and row: leaves in which all members of a large node meet that are not joined yet."""
-    members = large.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    members = _with_root(large, roots)
     counted = members.groupBy("node", "root").agg(F.count("*").alias("n"))
     nodes = counted.groupBy("node").agg(
         F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("size")
@@ -295,11 +332,43 @@ def _open(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int]]:
     return [(int(row),) for row in leaf["row"][_likely(leaf, share).any(axis=1)]]
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share: a product of their incidence matrix with itself.
+
+    Shingles of one set alone are left out. Columns are taken in slices, and counts are exact in 32-bit floats.
+    """
+    n = len(sets)
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(one) for one in sets])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    new = np.append(True, every[1:] != every[:-1])
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1
+    column, owner = column[shared], owner[shared]
+    column = np.cumsum(np.append(True, column[1:] != column[:-1])) - 1 if len(column) else column
+    out = np.zeros((n, n), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for begin in range(0, width, _COLUMNS):
+        a, b = np.searchsorted(column, (begin, begin + _COLUMNS))
+        held = np.zeros((n, min(_COLUMNS, width - begin)), np.float32)
+        held[owner[a:b], column[a:b] - begin] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
 def _linked(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int, int]]:
-    """Links between different components, found on the sets, that join them without a circle."""
+    """Links between different components, found on the full sets, that join them without a circle."""
     close, rows, sizes = _likely(leaf, share), leaf["row"], leaf["n_shingles"]
-    sets = [np.frombuffer(one, "<u4") for one in leaf["short"]]
-    root = {r: r for r in leaf["root"].tolist()}
+    at = np.flatnonzero(close.any(axis=1))
+    if not len(at):
+        return []
+    close, rows, sizes, roots = close[np.ix_(at, at)], rows[at], sizes[at], leaf["root"][at]
+    common = _common([np.frombuffer(leaf["shingles"][k], "<u8") for k in at])
+    good = 100 * common >= share * (sizes[:, None] + sizes[None, :] - common)
+    pairs = _forest(np.where(good & (close > 0), close, 0))
+    # members of one component may be joined by it alone: the forest of components is what is asked for
+    root = {r: r for r in roots.tolist()}
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -308,14 +377,9 @@ def _linked(leaf: dict[str, np.ndarray], share: int) -> list[tuple[int, int]]:
         return x
 
     found = []
-    one, two = np.nonzero(np.triu(close))
-    for k in np.argsort(-close[one, two], kind="stable"):
-        a, b = int(one[k]), int(two[k])
-        up, down = find(int(leaf["root"][a])), find(int(leaf["root"][b]))
-        if up == down:
-            continue
-        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if 100 * common >= share * (sizes[a] + sizes[b] - common):
+    for a, b in pairs:
+        up, down = find(int(roots[a])), find(int(roots[b]))
+        if up != down:
             root[up] = down
             found.append((int(rows[a]), int(rows[b])))
     return found
@@ -328,8 +392,8 @@ def _per_leaf(work, share: int, names: list[str]):
         out = {n: table.column(n).to_numpy() for n in ("row", "n_shingles", "root")}
         raw = b"".join(table.column("sketch").to_pylist())
         out["sketch"] = np.frombuffer(raw, np.uint8).reshape(-1, SKETCH)
-        if "short" in table.schema.names:
-            out["short"] = np.array([*table.column("short").to_pylist(), None], object)[:-1]
+        if "shingles" in table.schema.names:
+            out["shingles"] = np.array([*table.column("shingles").to_pylist(), None], object)[:-1]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,12 +450,9 @@ def _full_sets(width: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
             sets = shingles(batch.column("text"), width)
-            # half of each hash: common parts are never missed, and a link is confirmed in full
-            short = [np.unique(one.astype("<u4")).tobytes() for one in sets]
             full = [one.astype("<u8").tobytes() for one in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(full, pa.binary()), pa.array(short, pa.binary())],
-                names=["row", "shingles", "short"],
+                [batch.column("row"), pa.array(full, pa.binary())], names=["row", "shingles"]
             )
 
     return build
@@ -406,7 +467,7 @@ class _Sets:
         self.reps = reps.select("row", "doc_id", "text_key")
 
     def of(self, wanted: DataFrame) -> DataFrame:
-        """Columns row, shingles and short for the rows in ``wanted``, and maybe for others."""
+        """Columns row and shingles for the rows in ``wanted``, and maybe for others."""
         for part in self.parts:
             wanted = wanted.join(part, "row", "left_anti")
         keys = wanted.join(self.reps, "row").withColumn("known", F.col("doc_id").isNotNull())
@@ -418,7 +479,7 @@ class _Sets:
             "text",
         )
         found = texts.join(keys, ["doc_id", "known", "text_key"]).select("row", "text")
-        built = found.mapInArrow(_full_sets(self.width), "row long, shingles binary, short binary")
+        built = found.mapInArrow(_full_sets(self.width), "row long, shingles binary")
         self.parts.append(
             self.scratch.write(built.dropDuplicates(["row"]), f"sets-{len(self.parts)}")
         )
@@ -433,12 +494,12 @@ def link(
     width: int = WIDTH,
     share: int = SHARE,
     trees: int = TREES,
-    levels: int = LEVELS,
+    levels: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id, kept.
 
-    text_key is a 64-bit hash of the text, NULL hashing to the seed. component_id is the smallest doc_id of the rows that links reach. A NULL or empty text, and one of
-    white space alone, has no shingles and is linked with nothing: it is its own component. Texts
+    text_key is a 64-bit hash of the text, NULL hashing to the seed. component_id is the smallest doc_id of the
+    rows that links reach. ``levels`` limits how often nodes branch. A NULL or empty text, and one of alone, has no shingles and is linked with nothing: it is its own component. Texts
     with equal sets, so also repeated rows, are linked. One row of each component is kept, that with the smallest
     doc_id. A NULL doc_id counts as larger than any other. An empty table gives an empty result;
     other columns are ignored.
@@ -456,7 +517,6 @@ def link(
         "row", "doc_id", "text_key", "n_shingles", "set_key", "minhashes", "sketch"
     )
     reps = scratch.write(reps, "representatives")
-    leaves, dealt, large = _leaves(scratch, reps, trees, levels)
     sketches = reps.select("row", "n_shingles", "sketch")
     sets = _Sets(scratch, docs, reps, width)
 
@@ -467,7 +527,7 @@ def link(
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        full = sets.of(ends).select("row", "shingles")
+        full = sets.of(ends)
         checked = (
             pairs.join(full.select(F.col("row").alias("a"), F.col("shingles").alias("set_a")), "a")
             .join(full.select(F.col("row").alias("b"), F.col("shingles").alias("set_b")), "b")
@@ -477,8 +537,7 @@ def link(
         return scratch.write(checked.where("good").select("a", "b"), name)
 
     def placed(members: DataFrame, roots: DataFrame) -> DataFrame:
-        members = members.join(sketches, "row").join(roots, "row", "left")
-        return members.withColumn("root", F.coalesce("root", "row"))
+        return _with_root(members.join(sketches, "row"), roots)
 
     def spanned(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         fields = {"a": "long", "b": "long", "more": "boolean"}
@@ -489,46 +548,54 @@ def link(
         asked = scratch.write(in_leaves(members, _open, {"row": "long"}), f"{name}open")
         if asked.isEmpty():
             return None
-        short = sets.of(asked.select("row").distinct()).select("row", "short")
-        members = asked.join(members, ["leaf", "row"]).join(short, "row")
+        full = sets.of(asked.select("row").distinct())
+        members = asked.join(members, ["leaf", "row"]).join(full, "row")
         found = in_leaves(members, _linked, {"a": "long", "b": "long"})
-        found = scratch.write(found.select("a", "b").distinct(), f"{name}found")
-        return confirmed(found, f"{name}more-links")
-
-    def rooted(links: DataFrame, name: str) -> DataFrame:
-        return scratch.write(components(scratch, links, f"{name}stars"), f"{name}roots")
-
-    alone = leaves.unionByName(dealt).join(sketches.withColumn("root", F.col("row")), "row")
-    forest, links = spanned(alone, "")
-    roots = rooted(links, "")
+        return scratch.write(found.select("a", "b").distinct(), f"{name}more-links")
+
+    def joined(roots: DataFrame, more: DataFrame | None, name: str) -> DataFrame:
+        """Components of those known and of more links between them."""
+        if more is None or more.isEmpty():
+            return roots
+        known = roots.select(F.col("row").alias("a"), F.col("root").alias("b"))
+        return scratch.write(components(scratch, known.unionByName(more), f"{name}stars"), f"{name}roots")
+
+    # copies first: groups of them are known by their component from then on
+    own = reps.select("row", F.col("row").alias("root"))
+    met = reps.select("row", "minhashes").mapInArrow(_meet, "row long, node long")
+    met = scratch.write(_sized(met.withColumn("root", F.col("row"))), "met")
+    _, more = spanned(_dealt(met, LEAF).join(sketches.join(own, "row"), "row"), "first-")
+    roots = joined(own.limit(0), more, "first-")
+
+    leaves, dealt, large = _leaves(scratch, reps, roots, trees, levels)
+    forest, more = spanned(placed(leaves.unionByName(dealt), roots), "")
+    roots = joined(roots, more, "")
     open_leaves = forest.where("more").select("leaf").distinct()
     if not open_leaves.isEmpty():
         more = opened(placed(leaves.join(open_leaves, "leaf", "left_semi"), roots), "")
-        if more is not None:
-            links = links.unionByName(more)
-            roots = rooted(links, "more-")
+        roots = joined(roots, more, "more-")
     blocks = scratch.write(_blocks(large, roots), "blocks")
     if not blocks.isEmpty():
         _, more = spanned(placed(blocks, roots), "block-")
-        links = links.unionByName(more)
-        roots = rooted(links, "block-")
+        roots = joined(roots, more, "block-")
         blocks = scratch.write(_blocks(large, roots), "open-blocks")
-        more = opened(placed(blocks, roots), "block-")
-        if more is not None:
-            links = links.unionByName(more)
-            roots = rooted(links, "last-")
+        roots = joined(roots, opened(placed(blocks, roots), "block-"), "last-")
     return _classes(signed, reps, roots)
 
 
 def drop_near(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each component."""
+    """The rows of ``docs`` that stay, with all their columns: one of each component.
+
+    Of rows that agree in doc_id and text, that with the smallest hash of all columns stays. Rows without
+    shingles (NULL, empty and blank texts) all stay, and an empty table stays empty.
+    """
     kept = link(docs, width, share).where("kept")
     name = F.concat_ws(":", F.col("text_key").cast("string"), F.col("doc_id").cast("string"))
     kept = kept.select(name.alias("__key")).groupBy("__key").agg(F.count("*").alias("__stay"))
     own = F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string"))
     rows = docs.select(F.struct(*docs.columns).alias("__row"), own.alias("__key")).join(kept, "__key")
     # rows that agree in doc_id and text stand for each other: as many stay as were kept of them
-    order = Window.partitionBy("__key").orderBy(F.lit(0))
+    order = Window.partitionBy("__key").orderBy(F.md5(F.to_json("__row")))
     rows = rows.withColumn("__n", F.row_number().over(order))
     return rows.where("__n <= __stay").select("__row.*")
 
