@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ticketlens.llm import katz_lm, language_id
 
+LARGER = "/root/testdata/sf0.01"
+
 
 def test_held_out_rows_get_their_language(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -48,9 +50,73 @@ def test_foreign_texts_are_rejected_and_nothing_is_known_without_labels(spark):
     assert {r["lang_pred"] for r in language_id.predict(docs.limit(5), none).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Il sole era appena sorto quando la nave lasciò il porto e i marinai cantavano una vecchia canzone che "
+    "nessuno ricordava più. La città rimaneva silenziosa dietro le colline, mentre il vento portava il profumo del pane.",
+    "De zon was net opgekomen toen het schip de haven verliet en de matrozen een oud lied zongen dat niemand "
+    "zich meer herinnerde. De stad bleef stil achter de heuvels liggen terwijl de wind de geur van brood bracht.",
+    "Słońce właśnie wzeszło, gdy statek opuścił port, a marynarze śpiewali starą pieśń, której nikt już nie "
+    "pamiętał. Miasto pozostawało ciche za wzgórzami, a wiatr niósł zapach świeżego chleba.",
+]
+LEARNED = [
+    "The sun had only just risen when the ship left the harbour and the sailors sang an old song that nobody "
+    "remembered any more. The town stayed silent behind the hills while the wind carried the smell of bread.",
+    "Die Sonne war gerade aufgegangen, als das Schiff den Hafen verließ und die Matrosen ein altes Lied sangen, "
+    "an das sich niemand mehr erinnerte. Die Stadt blieb still hinter den Hügeln liegen.",
+]
+
+
+def test_unlearned_latin_languages_are_rejected_and_unusual_texts_of_learned_ones_are_not(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = language_id.fit(docs, F.lit(True))
+    made = [(n, text) for n, text in enumerate([*FOREIGN, *LEARNED])]
+    found = language_id.predict(spark.createDataFrame(made, "doc_id long, text string"), model).collect()
+    verdict = [r["rejected"] for r in sorted(found, key=lambda r: r["doc_id"])]
+    assert verdict == [True] * len(FOREIGN) + [False] * len(LEARNED)
+
+
+@pytest.mark.parametrize("left_out", ["de", "en", "fr"])
+def test_a_language_left_out_is_rejected(spark, left_out):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = language_id.fit(docs, F.col("lang") != left_out)
+    assert left_out not in model.languages
+    found = language_id.predict(docs, model, ("doc_id", "lang", "text")).where("length(text) > 300").collect()
+    foreign = [r["rejected"] for r in found if r["lang"] == left_out]
+    own = [r["rejected"] for r in found if r["lang"] in model.languages]
+    assert sum(foreign) >= 0.7 * len(foreign) > 20
+    assert sum(own) <= 0.01 * len(own)
+
+
+def test_predictions_equal_a_plain_nearest_centroid(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    model = language_id.fit(docs, F.lit(True))
+    found = {r["doc_id"]: r for r in language_id.predict(docs, model).collect()}
+    for row in docs.collect():
+        grams = Counter()
+        letters = "".join(c.lower() if c.isascii() and c.isalpha() or not c.isascii() else " " for c in row["text"])
+        code = lower(letters).encode()
+        for order in language_id.ORDERS:
+            for at in range(len(code) - order + 1):
+                gram = code[at : at + order]
+                if gram.strip(b" "):
+                    number = int.from_bytes(gram) + (order << 28)
+                    grams[(number * 2654435761 % 2**32) >> 19] += 1
+        vector = {k: math.log1p(n) * float(model.weights[k]) for k, n in grams.items()}
+        norm = math.sqrt(sum(x * x for x in vector.values()))
+        near = [sum(x * float(c[k]) for k, x in vector.items()) / norm for c in model.centroids]
+        best = max(range(len(near)), key=near.__getitem__)
+        assert found[row["doc_id"]]["lang_pred"] == model.languages[model.owner[best]]
+        assert math.isclose(found[row["doc_id"]]["score"], near[best], abs_tol=1e-4)
+
+
 def test_the_sample_is_bounded(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"))
     assert language_id.sample(docs, F.lit(True), per_language=30).count() == 30
+    one = spark.range(5000).select(F.lit(1).alias("doc_id"), F.col("id").cast("string").alias("text"), F.lit("en").alias("lang"))
+    assert language_id.sample(one, F.lit(True), per_language=30).count() == 1
+    both = docs.unionByName(one.withColumn("lang", F.lit("de")))
+    found = language_id.sample(both.repartition(7), F.lit(True), per_language=30).groupBy("lang").count().collect()
+    assert {tuple(r) for r in found} == {("en", 30), ("de", 1)}
 
 
 class Katz:

@@ -2,11 +2,13 @@
 
 A text becomes a unit vector: counts of hashed letter n-grams, damped by the logarithm, weighted by
 inverse document frequency. Each language's labelled vectors are clustered by spherical k-means, and a text
-gets the language of the centroid with the largest cosine. The distance also says how sure that is: a
-text much farther from every centroid than labelled texts of its length is rejected.
+gets the language of the centroid with the largest cosine. The distances also say how sure that is: a
+text much farther from every centroid than labelled texts of its length is rejected, and one that is
+rather far is when its second language is nearly as close as its first. Noise in a text of a learned
+language takes from both cosines alike; a language that was not learned is about as far from several.
 
 The model is fitted on a bounded sample, ``PER_LANGUAGE`` labelled texts of each language with the
-smallest hashes of their ids; everything is predicted.
+smallest hashes of their ids; everything is predicted. Each language is clustered in a task of its own.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlens.llm.arrowtext import flat, runs
+from ticketlens.llm.scratch import Scratch
 from ticketlens.llm.shipping import ship
 from ticketlens.llm.token_ids import KINDS, kinds_of, lowered
 
@@ -34,6 +37,11 @@ CENTROIDS = 4
 ROUNDS = 10
 #: A text is rejected when its cosine is below this share of what labelled texts of its length reach.
 REJECT = 0.2
+#: Below this share it is rejected as well when its second language comes as near to the first as MARGIN.
+DOUBT = 0.5
+MARGIN = 0.78
+#: Ranking the sample is spread over so many tasks a language.
+_SPREAD = 64
 
 UNKNOWN = "und"
 _TEXTS = 256
@@ -91,10 +99,17 @@ class Model:
         """Number of the language, cosine, and whether the text is rejected."""
         length = np.minimum(_length_class(found), len(self.usual) - 1)
         near = self.vectors(found) @ self.centroids.T
+        # a language's centroids lie side by side
+        first = np.flatnonzero(np.diff(self.owner, prepend=-1))
+        near = np.maximum.reduceat(near, first, axis=1)
         best = near.argmax(axis=1)
         score = np.clip(near[np.arange(len(near)), best], 0, 1)
-        least = REJECT * self.usual[length]
-        return self.owner[best], score, score < least
+        usual = self.usual[length]
+        rejected = score < REJECT * usual
+        if len(first) > 1:
+            second = np.partition(near, -2, axis=1)[:, -2]
+            rejected |= (score < DOUBT * usual) & (second > MARGIN * score)
+        return self.owner[first][best], score, rejected
 
 
 def _cluster(vectors: np.ndarray, k: int) -> np.ndarray:
@@ -116,20 +131,29 @@ def _cluster(vectors: np.ndarray, k: int) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The bounded sample: lang and text of labelled rows, by the smallest hashes of their ids."""
+    """The bounded sample: lang and text of labelled rows, by the smallest hashes of their ids.
+
+    An id counts once a language, with the text of the smallest hash, however often it is repeated. At most
+    ``MAX_LANGUAGES`` languages are taken, those with the most sampled ids.
+    """
     chosen = docs.where(labelled & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = chosen.select("doc_id", "lang").withColumn("n", F.row_number().over(order))
-    ids = ids.where(F.col("n") <= per_language)
+    chosen = chosen.select("doc_id", "lang", "text")
+    ids = chosen.select("doc_id", "lang").distinct().withColumn("place", F.xxhash64("doc_id"))
+    # the smallest of each share of a language's ids, then the smallest of those
+    share = F.pmod(F.xxhash64("place"), F.lit(_SPREAD))
+    for keys in (["lang", share], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("place", "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
     largest = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
     kept = largest.limit(MAX_LANGUAGES).select("lang")
-    ids = ids.join(F.broadcast(kept), "lang").select("doc_id")
+    ids = ids.join(F.broadcast(kept), "lang").select("doc_id", "lang")
     # the number of ids is bounded by the two parameters above
-    return chosen.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = chosen.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
+    return rows.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
-def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) -> Model:
-    """The model of a bounded sample of the rows for which ``labelled`` is true."""
+def _sparse(rows: DataFrame) -> DataFrame:
+    """Per row with a text: lang, the slots of its n-grams that occur, and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
@@ -149,25 +173,69 @@ def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) ->
                     names=["lang", "slots", "counts"],
                 )
 
-    ship(docs.sparkSession)
-    rows = sample(docs, labelled, per_language).select("lang", "text")
-    rows = rows.mapInArrow(count, "lang string, slots binary, counts binary").collect()
-    rows = sorted((r["lang"], r["slots"], r["counts"]) for r in rows if r["slots"])
-    if not rows:
+    return rows.mapInArrow(count, "lang string, slots binary, counts binary").where("length(slots) > 0")
+
+
+def _held(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """How many rows there are, and in how many of them each n-gram slot occurs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(BUCKETS + 1, np.int64)
+        for batch in batches:
+            for slots in batch.column("slots"):
+                held[np.frombuffer(slots.as_buffer(), "<u2")] += 1
+            held[BUCKETS] += batch.num_rows
+        found = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(held[found])], names=["slot", "n"])
+
+    sums = rows.select("slots").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n"))
+    held = np.zeros(BUCKETS + 1, np.int64)
+    for slot, n in sums.collect():
+        held[slot] = n
+    return int(held[BUCKETS]), held[:BUCKETS]
+
+
+def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) -> Model:
+    """The model of a bounded sample of the rows for which ``labelled`` is true.
+
+    The driver receives a count per n-gram slot, and of each language its centroids and a length and a
+    cosine for every sampled text. Without any labelled text that has n-grams the model knows no language.
+    """
+    scratch = Scratch(docs.sparkSession, "language")
+    rows = scratch.write(_sparse(sample(docs, labelled, per_language).select("lang", "text")), "sample")
+    n_rows, held = _held(rows)
+    if not n_rows:
+        scratch.drop("sample")
         return Model()
-    found = np.zeros((len(rows), BUCKETS), np.float32)
-    for n, (_, slots, values) in enumerate(rows):
-        found[n, np.frombuffer(slots, "<u2")] = np.frombuffer(values, "<f4")
-    model = Model(sorted({lang for lang, _, _ in rows}))
-    held = (found > 0).sum(axis=0)
-    model.weights = (np.log((1 + len(rows)) / (1 + held)) + 1).astype(np.float32)
-    length = _length_class(found)
-    vectors = model.vectors(found)
-    owner = np.array([model.languages.index(lang) for lang, _, _ in rows])
-    parts = [_cluster(vectors[owner == n], CENTROIDS) for n in range(len(model.languages))]
-    model.centroids = np.concatenate(parts).astype(np.float32)
-    model.owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
-    best = (vectors @ model.centroids.T).max(axis=1)
+    weights = (np.log((1 + n_rows) / (1 + held)) + 1).astype(np.float32)
+
+    def cluster(table: pa.Table) -> pa.Table:
+        texts = sorted(zip(table.column("slots").to_pylist(), table.column("counts").to_pylist(), strict=True))
+        found = np.zeros((len(texts), BUCKETS), np.float32)
+        for n, (slots, values) in enumerate(texts):
+            found[n, np.frombuffer(slots, "<u2")] = np.frombuffer(values, "<f4")
+        length = _length_class(found)
+        vectors = Model(weights=weights).vectors(found)
+        centers = _cluster(vectors, CENTROIDS).astype("<f4")
+        best = (vectors @ centers.T).max(axis=1)
+        return pa.table(
+            {
+                "lang": table.column("lang")[:1],
+                "centroids": pa.array([centers.tobytes()], pa.binary()),
+                "length": pa.array([length.tolist()], pa.list_(pa.int64())),
+                "best": pa.array([best.tolist()], pa.list_(pa.float64())),
+            }
+        )
+
+    schema = "lang string, centroids binary, length array<bigint>, best array<double>"
+    parts = sorted(rows.groupBy("lang").applyInArrow(cluster, schema).collect(), key=lambda r: r["lang"])
+    scratch.drop("sample")
+    model = Model([part["lang"] for part in parts], weights)
+    centers = [np.frombuffer(part["centroids"], "<f4").reshape(-1, BUCKETS) for part in parts]
+    model.centroids = np.concatenate(centers)
+    model.owner = np.repeat(np.arange(len(parts)), [len(part) for part in centers])
+    length = np.concatenate([part["length"] for part in parts])
+    best = np.concatenate([part["best"] for part in parts])
     model.usual = np.zeros(int(length.max()) + 1, np.float32)
     # short texts reach less; a class without enough texts takes what shorter ones reach
     least = 0.0
