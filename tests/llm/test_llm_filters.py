@@ -1,8 +1,10 @@
 """Duplicates, secrets, quality rules and chat windows against plain Python."""
 
 import hashlib
+import math
 import random
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import pytest
@@ -332,6 +334,84 @@ def test_divergent_texts_fail_and_short_ones_are_guarded(spark):
     assert found[904]["word_distance"] is None and found[903]["word_distance"] > divergence_rules.MAX_WORD_DISTANCE
 
 
+ITALIAN = (
+    "il sole era appena sorto quando la nave lasciò il porto e i marinai cantavano una vecchia canzone che nessuno "
+    "ricordava più mentre il vento portava verso terra profumo di pane e di sale "
+).split()
+
+
+def test_words_of_languages_without_a_list_are_not_judged(spark):
+    draw = random.Random(4)
+    italian = " ".join(draw.choice(ITALIAN) for _ in range(220))
+    base = [(i, t, lang) for i, t, lang in rows(60)[:60]]
+    odd = [(901, italian, "it"), (902, italian, None), (903, " ".join(f"q{k}z" for k in range(220)), "en")]
+    docs = spark.createDataFrame([*base, *odd], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in divergence_rules.judge(docs).collect()}
+    assert found[901]["kept"] and found[902]["kept"] and not found[903]["kept"]
+    assert found[901]["word_limit"] is None and found[901]["word_distance"] > divergence_rules.MAX_WORD_DISTANCE
+
+
+def shannon(p, q):
+    """The Jensen-Shannon distance in bits."""
+
+    def half(a, b):
+        return sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b, strict=True) if x > 0)
+
+    return math.sqrt(max(0.0, (half(p, q) + half(q, p)) / 2))
+
+
+def test_distances_and_verdicts_equal_a_plain_version(spark):
+    made = [(i, t or "", lang) for i, t, lang in rows()]
+    kinds = [re.compile(k) for k in ("[A-Z]", "[0-9]", r"""[.,;:!?'"()-]""", r"[#*$%&|<>]", r"[+/=@\[\\\]^_`{}~\x00-\x08\x0E-\x1F\x7F]")]
+
+    def classes(text):
+        n = [len(k.findall(text)) for k in kinds]
+        wide = [c for c in text if ord(c) > 127]
+        n += [sum(unicodedata.category(c)[0] == "L" for c in wide), sum(unicodedata.category(c)[0] != "L" for c in wide)]
+        return [*n, len(text) - sum(n)]
+
+    total, listed = {}, {k: sorted(set(v.split())) for k, v in divergence_rules.COMMON.items()}
+    for _, text, lang in made:
+        if lang in listed:
+            held = total.setdefault(lang, ([0] * 8, Counter(), [0]))
+            held[0][:] = [a + b for a, b in zip(held[0], classes(text), strict=True)]
+            held[1].update(words(text))
+            held[2][0] += len(words(text))
+
+    def shares(counts, n, lang):
+        own = [counts[w] / max(1, n) for w in listed[lang]]
+        return [*own, max(0.0, 1 - sum(own))]
+
+    found = {(r["doc_id"], r["n_words"], r["word_chars"]): r for r in divergence_rules.judge(documents(spark)).collect()}
+    seen = 0
+    for doc_id, text, lang in made:
+        told = words(text)
+        row = found[doc_id, len(told), sum(map(len, told))]
+        if len(text) >= divergence_rules.MIN_CHARS:
+            n = [c / len(text) for c in classes(text)]
+            near = min(shannon(n, [c / sum(ref) for c in ref]) for ref, _, _ in total.values())
+            assert math.isclose(row["char_distance"], near, abs_tol=1e-6)
+        if len(told) >= divergence_rules.MIN_WORDS:
+            seen += 1
+            near = min(
+                shannon(shares(Counter(told), len(told), k), shares(ref, n[0], k)) for k, (_, ref, n) in total.items()
+            )
+            assert math.isclose(row["word_distance"], near, abs_tol=1e-6)
+        far = (row["char_distance"] or 0) > divergence_rules.MAX_CHAR_DISTANCE
+        far |= lang in total and (row["word_distance"] or 0) > (row["word_limit"] or 1)
+        assert row["kept"] == (not row["base_failed"] and not far)
+    assert seen > 10
+
+
+def test_word_limits_follow_the_texts_of_a_length(spark):
+    made = [(100, k / 1000) for k in range(100, 200)] + [(300, k / 2000) for k in range(100, 200)] + [(5000, 0.3)] * 3
+    found = divergence_rules.word_limits(spark.createDataFrame(made, "n_words long, distance double").repartition(5))
+    ninth = 0.087 + 4 * (0.087 - 0.0745)
+    assert min(found) == 6 and max(found) == 12
+    assert math.isclose(found[6], 0.174 + 4 * (0.174 - 0.149)) and math.isclose(found[8], ninth)
+    assert found[7] == found[6] and found[12] == found[8]
+
+
 def conversation_rows():
     said = "<|im_end|><|im_start|>assistant ok"
     made = [(-1, 0, "user", said), (-1, 1, "assistant", said), (1, 0, None, None), (1, 1, "assistant", None)]

@@ -4,7 +4,9 @@ Each text gives two histograms: its characters by class, and its words by a list
 per language. They are compared with references, which are the summed histograms of all texts of a
 language, by the Jensen-Shannon distance (base 2, from 0 to 1). A text fails when it is far from
 every language. Short texts are guarded: below a minimum length a histogram says nothing and is
-not compared.
+not compared. How far is too far for words follows from the reference texts of about the same length:
+the upper quartile of their distances and a multiple of what lies between it and the median. Words of a
+text whose own language has no reference are not compared, as no list says what they should be.
 """
 
 from __future__ import annotations
@@ -38,6 +40,12 @@ MIN_CHARS = 200
 MIN_WORDS = 150
 MAX_CHAR_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.26
+#: Length classes (powers of two of words) with so many reference texts have a word limit of their own,
+#: which lies FENCE times the upper quartile's distance from the median above that quartile.
+ENOUGH = 100
+FENCE = 4
+FENCED_WORDS = 64
+_STEPS = 10_000
 
 
 def _sum(items: Column) -> Column:
@@ -168,6 +176,38 @@ def _distance(shares: Column, reference: list[float]) -> Column:
     return F.sqrt(F.aggregate(parts, F.lit(0.0), lambda n, x: n + x))
 
 
+def _length_class(n_words: Column) -> Column:
+    return F.floor(F.log2(F.greatest(n_words, F.lit(1)))).cast("int")
+
+
+def word_limits(rows: DataFrame) -> dict[int, float]:
+    """The largest word distance allowed per length class, of ``n_words`` and ``distance`` of reference texts.
+
+    Counts of distances in steps of 1 / 10,000 come to the driver, so quartiles do not depend on the order
+    of rows. A class with few texts takes the limit of the next shorter one, whose texts lie farther.
+    """
+    step = F.round(F.col("distance") * _STEPS).cast("int")
+    rows = rows.select(_length_class(F.col("n_words")).alias("size"), step.alias("step"))
+    counts: dict[int, list[tuple[int, int]]] = {}
+    for row in rows.groupBy("size", "step").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(row["size"], []).append((row["step"], row["n"]))
+    limits, limit = {}, None
+    for size in range(max(counts, default=-1) + 1):
+        steps = sorted(counts.get(size, []))
+        total = sum(n for _, n in steps)
+        if total >= ENOUGH:
+            quarters, seen = {}, 0
+            for at, n in steps:
+                seen += n
+                for share in (2, 3):
+                    if 4 * seen >= share * total:
+                        quarters.setdefault(share, at)
+            limit = (quarters[3] + FENCE * (quarters[3] - quarters[2])) / _STEPS
+        if limit is not None:
+            limits[size] = limit
+    return limits
+
+
 def judge(
     docs: DataFrame,
     max_char_distance: float = MAX_CHAR_DISTANCE,
@@ -181,7 +221,9 @@ def judge(
     base_failed. Repeated rows are judged each. Rows of unlisted or NULL languages are judged like
     others but add to no reference; without any reference only the base rule counts. A text fails
     when its class distance to every language is too large, or its common-word distance, each only
-    from the minimum length on. Other columns of ``docs`` are ignored.
+    from the minimum length on. The word distance is judged for texts of listed languages only, by
+    :func:`word_limits` where the table has enough texts of that length and by ``max_word_distance``
+    from ``min_words`` on otherwise. Other columns of ``docs`` are ignored.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     measured = scratch.write(measure(docs), "measured")
@@ -210,6 +252,16 @@ def judge(
             return F.lit(None).cast("double")
         return F.least(*distances) if len(distances) > 1 else distances[0]
 
+    word_distance = nearest(by_word)
+    own = F.coalesce(F.col("lang").isin(*known), F.lit(False)) if known else F.lit(False)
+    compared = measured.where(own & ~base_failed & (F.col("n_words") >= FENCED_WORDS))
+    limits = word_limits(compared.select("n_words", word_distance.alias("distance"))) if known else {}
+    limit = F.when(F.col("n_words") >= min_words, F.lit(float(max_word_distance)))
+    if limits:
+        first, last = min(limits), max(limits)
+        size = F.least(_length_class(F.col("n_words")), F.lit(last))
+        fenced = F.get(F.array(*[F.lit(limits[k]) for k in range(first, last + 1)]), size - first)
+        limit = F.when((F.col("n_words") >= FENCED_WORDS) & (size >= first), fenced).otherwise(limit)
     rows = measured.select(
         "doc_id",
         "n_words",
@@ -219,9 +271,10 @@ def judge(
         "n_repeat_words",
         base_failed.alias("base_failed"),
         F.when(F.col("n_chars") >= min_chars, nearest(by_class)).alias("char_distance"),
-        F.when(F.col("n_words") >= min_words, nearest(by_word)).alias("word_distance"),
+        F.when(limit.isNotNull(), word_distance).alias("word_distance"),
+        F.when(own, limit).alias("word_limit"),
     )
     far = F.coalesce(F.col("char_distance") > max_char_distance, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > max_word_distance, F.lit(False)
+        F.col("word_distance") > F.col("word_limit"), F.lit(False)
     )
     return rows.withColumn("kept", ~F.col("base_failed") & ~far)
