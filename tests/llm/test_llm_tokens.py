@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from llm_fixtures import documents, empty, rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ticketlens.llm import bpe_codec, packing, rans_output
@@ -109,32 +110,60 @@ def test_empty_tables_of_ids(spark):
     assert rans_output.read_ids(spark, path).count() == 0
 
 
-def test_blocks_decode_from_each_checkpoint_and_show_damage():
+def test_a_long_document_is_decoded_by_stretches_and_put_together(spark):
+    draw = random.Random(2)
+    text = " ".join(draw.choice(["alpha", "beta", "gamma", "river", "stone", "1", "x"]) for _ in range(300_000))
+    docs = spark.createDataFrame([(1, "a b"), (2, text), (3, None), (4, "c"), (2, text)], "doc_id long, text string")
+    path = Scratch(spark, "test").path("long")
+    rans_output.write_ids(docs, path, WORDS, end_id=2)
+    stretches = spark.read.parquet(f"{path}/stretches")
+    long = stretches.where("array_contains(doc_ids, 2)").collect()
+    assert len({(r["part"], r["block"]) for r in long}) == 2 and len(long) >= 6
+    assert all(r["n_ids"] <= rans_output.BLOCK_IDS for r in stretches.collect())
+    found = rans_output.read_ids(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == [1, 2, 2, 3, 4]
+    raw = np.array([*expected(WORDS, text), 2], "<u4").tobytes()
+    assert all(bytes(r["ids"]) == raw and r["ids_crc32"] == zlib.crc32(raw) for r in found[1:3])
+    assert all(b["start"] == a["start"] + a["n_tokens"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_stretches_decode_alone_and_show_damage():
     draw = np.random.default_rng(1)
     ids = np.minimum(draw.geometric(0.01, 700_000), 5000).astype(np.uint16)
     names, counts = np.unique(ids, return_counts=True)
     coder = rans_output.Coder(names.astype(np.int64), rans_output.scaled(names, counts))
-    states, payload, marks = coder.encode(ids)
-    assert len(marks) == (700_000 - 1) // (rans_output.LANES * rans_output.CHECKPOINT)
-    kept = b"".join(np.array([s, w], "<u8").tobytes() + at.tobytes() for s, w, at in marks)
-    assert (coder.decode(len(ids), states, payload, kept) == ids).all()
+    parts = list(coder.stretches(ids))
+    assert len(parts) == 1 + (700_000 - 1) // rans_output.BLOCK_IDS
+    for first, n, states, payload in parts:
+        assert (coder.decode(n, states, payload) == ids[first : first + n]).all()
+    assert sum(n for _, n, _, _ in parts) == len(ids)
     entropy = -(counts / len(ids) * np.log2(counts / len(ids))).sum() * len(ids) / 8
-    assert len(payload) < 1.01 * entropy + 8 * rans_output.LANES
-    step, word, at = marks[2]
-    begin = step * rans_output.LANES
-    words = np.frombuffer(payload, "<u4").astype(np.uint64)
-    part = coder._segment(words, word, at.astype(np.uint64), 5000)
-    assert (part == ids[begin : begin + 5000]).all()
+    assert sum(len(payload) for *_, payload in parts) < 1.01 * entropy + 8 * rans_output.LANES
+    first, n, states, payload = parts[2]
     spoiled = bytearray(payload)
     spoiled[100] ^= 255
-    assert (coder.decode(len(ids), states, bytes(spoiled), kept) != ids).any()
+    try:
+        assert (coder.decode(n, states, bytes(spoiled)) != ids[first : first + n]).any()
+    except ValueError:
+        pass
+
+
+def test_a_damaged_file_stops_the_reader(spark):
+    path = Scratch(spark, "test").path("damaged")
+    rans_output.write_ids(documents(spark), path, WORDS, end_id=2)
+    spoiled = spark.read.parquet(f"{path}/stretches").withColumn("crc32", F.col("crc32") + (F.col("first") == 0).cast("int"))
+    other = Scratch(spark, "test").path("other")
+    spoiled.write.parquet(f"{other}/stretches")
+    spark.read.parquet(f"{path}/table").write.parquet(f"{other}/table")
+    with pytest.raises(Exception, match="damaged"):
+        rans_output.read_ids(spark, other).collect()
 
 
 def test_one_id_only_and_frequencies_add_up():
     names = np.array([7])
     coder = rans_output.Coder(names, rans_output.scaled(names, np.array([3])))
     states, payload, _ = coder.encode(np.array([7, 7, 7]))
-    assert coder.decode(3, states, payload, b"").tolist() == [7, 7, 7]
+    assert coder.decode(3, states, payload).tolist() == [7, 7, 7]
     some = rans_output.scaled(np.arange(40_000), np.arange(1, 40_001))
     assert some.sum() == 1 << rans_output.SCALE and some.min() >= 1
 

@@ -2,11 +2,13 @@
 
 One table of frequencies, counted over the whole corpus, is shared by all blocks. A block holds whole
 documents and stands alone: its ids are dealt to lanes that are coded side by side, position by
-position. Every few steps it keeps a checkpoint (the lanes' states and the place in the payload), so that
-one block can be decoded by several readers at once, and it carries a checksum of its ids.
+position. Every few steps it keeps a checkpoint: the lanes' states and the place in the payload. The
+stretch of a block from one checkpoint to the next is a row of its own, with its states, its part of the
+payload, the documents that lie in it and a checksum of its ids, so that any task can decode and verify it
+alone, and a long document is decoded by many.
 
-The output is a folder with two Parquet tables: ``table`` (id, frequency) and ``blocks``. Blocks are
-ordered by part and number within it; in that order their documents are in ascending doc_id order.
+The output is a folder with two Parquet tables: ``table`` (id, frequency) and ``stretches``. Stretches are
+ordered by part, block and number within it; in that order their documents are in ascending doc_id order.
 """
 
 from __future__ import annotations
@@ -23,19 +25,21 @@ from pyspark.sql import functions as F
 from ticketlens.llm.scratch import Scratch
 from ticketlens.llm.token_ids import encode_rows
 
-#: A block is closed when it holds this many ids or more; a longer document is one block.
-BLOCK_IDS = 1 << 18
 LANES = 1024
 #: Steps of all lanes between two checkpoints.
 CHECKPOINT = 128
+#: A block holds whole documents up to one stretch; a longer document is a block of several stretches.
+BLOCK_IDS = CHECKPOINT * LANES
 #: Frequencies add up to 2 ** SCALE.
 SCALE = 20
 _WORD = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 _FLOOR = np.uint64(1 << 31)
 
-_BLOCKS = """part int, block int, first long, n_ids long, doc_ids array<bigint>,
-lengths array<bigint>, states binary, payload binary, checkpoints binary, crc32 long"""
+#: ``first``: the ids of the part before the stretch. ``begins`` and ``lengths`` describe the whole
+#: documents that have ids in the stretch, by their place in the part.
+_STRETCHES = """part int, block int, stretch int, first long, n_ids long, doc_ids array<bigint>,
+begins array<bigint>, lengths array<bigint>, states binary, payload binary, crc32 long"""
 
 
 def scaled(ids: np.ndarray, counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -104,21 +108,21 @@ class Coder:
             states[: len(state)] = state
         return out
 
-    def decode(self, n: int, states: bytes, payload: bytes, checkpoints: bytes) -> np.ndarray:
-        """All ids of a block; each stretch between checkpoints is decoded on its own."""
+    def stretches(self, ids: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """The stretches of a block: first id, number of ids, states at its start, payload."""
+        states, payload, marks = self.encode(ids)
+        starts = [(0, 0, np.frombuffer(states, "<u8")), *marks]
+        for (step, word, at), (following, until, _) in zip(
+            starts, [*starts[1:], (None, len(payload) // 4, None)], strict=True
+        ):
+            first = step * LANES
+            end = len(ids) if following is None else following * LANES
+            yield first, end - first, at.tobytes(), payload[4 * word : 4 * until]
+
+    def decode(self, n: int, states: bytes, payload: bytes) -> np.ndarray:
+        """The ids of one stretch. A damaged payload gives other ids or a ValueError."""
         words = np.frombuffer(payload, "<u4").astype(np.uint64)
-        stretch = CHECKPOINT * LANES
-        starts = [(0, np.frombuffer(states, "<u8"))]
-        one = 16 + 8 * LANES
-        for at in range(0, len(checkpoints), one):
-            word = int(np.frombuffer(checkpoints, "<u8", 1, at + 8)[0])
-            starts.append((word, np.frombuffer(checkpoints, "<u8", LANES, at + 16)))
-        parts = [
-            self._segment(words, word, at, min(stretch, n - i * stretch))
-            for i, (word, at) in enumerate(starts)
-            if n > i * stretch
-        ]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        return self._segment(words, 0, np.frombuffer(states, "<u8"), n)
 
 
 def count_ids(encoded: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -138,63 +142,56 @@ def count_ids(encoded: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table[:, 0], table[:, 1]
 
 
-def _to_blocks(ids: np.ndarray, frequency: np.ndarray, scale: int):
+def _to_stretches(ids: np.ndarray, frequency: np.ndarray, scale: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = Coder(ids, frequency, scale), TaskContext.get().partitionId()
         block, first, held, size = 0, 0, [], 0
 
         def close():
             tokens = np.concatenate([one for _, one in held])
-            states, payload, marks = coder.encode(tokens)
-            kept = b"".join(
-                np.array([step, word], "<u8").tobytes() + at.tobytes() for step, word, at in marks
-            )
-            return pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "part": part,
-                        "block": block,
-                        "first": first,
-                        "n_ids": len(tokens),
-                        "doc_ids": [doc for doc, _ in held],
-                        "lengths": [len(one) for _, one in held],
-                        "states": states,
-                        "payload": payload,
-                        "checkpoints": kept,
-                        "crc32": zlib.crc32(tokens.astype("<u4").tobytes()),
-                    }
-                ],
-                schema=_ARROW,
-            )
+            docs = np.array([doc is None for doc, _ in held])
+            names = np.array([doc or 0 for doc, _ in held], np.int64)
+            ends = np.cumsum([len(one) for _, one in held])
+            for stretch, (at, n, states, payload) in enumerate(coder.stretches(tokens)):
+                low, high = np.searchsorted(ends, at, "right"), np.searchsorted(ends, at + n) + 1
+                lengths = np.diff(ends[low:high], prepend=ends[low - 1] if low else 0)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part], pa.int32()),
+                        pa.array([block], pa.int32()),
+                        pa.array([stretch], pa.int32()),
+                        pa.array([first + at]),
+                        pa.array([n], pa.int64()),
+                        _list(pa.array(names[low:high], mask=docs[low:high])),
+                        _list(pa.array(first + ends[low:high] - lengths)),
+                        _list(pa.array(lengths)),
+                        pa.array([states], pa.binary()),
+                        pa.array([payload], pa.binary()),
+                        pa.array([zlib.crc32(tokens[at : at + n].astype("<u4").tobytes())], pa.int64()),
+                    ],
+                    names=_NAMES,
+                )
 
         for batch in batches:
             for doc, packed in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 tokens = np.frombuffer(packed.as_buffer(), "<u2")
+                if held and size + len(tokens) > BLOCK_IDS:
+                    yield from close()
+                    block, first, held, size = block + 1, first + size, [], 0
                 held.append((doc, tokens))
                 size += len(tokens)
-                if size >= BLOCK_IDS:
-                    yield close()
-                    block, first, held, size = block + 1, first + size, [], 0
         if held:
-            yield close()
+            yield from close()
 
     return encode
 
 
-_ARROW = pa.schema(
-    [
-        ("part", pa.int32()),
-        ("block", pa.int32()),
-        ("first", pa.int64()),
-        ("n_ids", pa.int64()),
-        ("doc_ids", pa.list_(pa.int64())),
-        ("lengths", pa.list_(pa.int64())),
-        ("states", pa.binary()),
-        ("payload", pa.binary()),
-        ("checkpoints", pa.binary()),
-        ("crc32", pa.int64()),
-    ]
-)
+_NAMES = [column.split()[0] for column in _STRETCHES.split(",")]
+
+
+def _list(values: pa.Array) -> pa.Array:
+    """One row that holds all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(pa.int64()))
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, scale: int = SCALE) -> None:
@@ -212,20 +209,28 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, scale: in
     table = pa.table({"id": ids, "frequency": frequency}).to_pandas()
     spark.createDataFrame(table, "id long, frequency long").coalesce(1).write.parquet(f"{path}/table")
     ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    blocks = ordered.mapInArrow(_to_blocks(ids, frequency, scale), _BLOCKS)
+    stretches = ordered.mapInArrow(_to_stretches(ids, frequency, scale), _STRETCHES)
     # payloads are coded already; what is left is not worth packing
-    blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    stretches.write.option("compression", "uncompressed").parquet(f"{path}/stretches")
     scratch.drop("ids")
 
 
+_DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+
+
 def read_ids(spark: SparkSession, path: str, scale: int = SCALE) -> DataFrame:
-    """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32, ids (32 bits each)."""
+    """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32, ids (32 bits each).
+
+    Stretches are dealt to tasks whatever file they lie in. Each is decoded and verified alone; one whose
+    ids differ from its checksum stops the job. Documents that lie within a stretch are ready then. Those
+    that cross checkpoints, which are longer than a stretch, are put together after a shuffle of their pieces.
+    """
     listed = spark.read.schema("id long, frequency long").parquet(f"{path}/table").collect()
     table = np.array(sorted(tuple(row) for row in listed), np.int64).reshape(-1, 2)
     ids, frequency = table[:, 0], table[:, 1]
-    blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
+    stretches = spark.read.schema(_STRETCHES).parquet(f"{path}/stretches")
     # one number per written part: the ids of all parts before it
-    sizes = dict(blocks.groupBy("part").agg(F.sum("n_ids")).collect())
+    sizes = dict(stretches.groupBy("part").agg(F.sum("n_ids")).collect())
     before, at = {}, 0
     for part in sorted(sizes):
         before[part] = at
@@ -236,23 +241,49 @@ def read_ids(spark: SparkSession, path: str, scale: int = SCALE) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                tokens = coder.decode(one["n_ids"], one["states"], one["payload"], one["checkpoints"])
-                raw = tokens.astype("<u4").tobytes()
+                where = f"stretch {one['stretch']} of block {one['block']} of part {one['part']}"
+                raw = coder.decode(one["n_ids"], one["states"], one["payload"]).astype("<u4").tobytes()
                 if zlib.crc32(raw) != one["crc32"]:
-                    raise ValueError(f"block {one['block']} of part {one['part']} is damaged")
-                ends = np.cumsum([0, *one["lengths"]])
-                texts = [raw[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                    raise ValueError(f"{where} is damaged")
+                begins, lengths = np.array(one["begins"], np.int64), np.array(one["lengths"], np.int64)
+                low = np.maximum(begins, one["first"])
+                high = np.minimum(begins + lengths, one["first"] + one["n_ids"])
+                spans = zip(low - one["first"], high - one["first"], strict=True)
+                pieces = [raw[4 * a : 4 * b] for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one["doc_ids"], pa.int64()),
-                        pa.array(ends[:-1] + before[one["part"]] + one["first"]),
-                        pa.array(one["lengths"], pa.int64()),
-                        pa.array([zlib.crc32(text) for text in texts], pa.int64()),
-                        pa.array(texts, pa.binary()),
+                        pa.array(begins + before[one["part"]]),
+                        pa.array(lengths),
+                        pa.array([zlib.crc32(piece) for piece in pieces], pa.int64()),
+                        pa.array(pieces, pa.binary()),
+                        pa.array(low - begins),
                     ],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
+                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids", "at"],
                 )
 
-    return blocks.mapInArrow(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = [sorted((p["at"], p["ids"]) for p in row) for row in batch.column("pieces").to_pylist()]
+            whole = [b"".join(piece for _, piece in row) for row in pieces]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(name) for name in ("doc_id", "start", "n_tokens")],
+                    pa.array([zlib.crc32(one) for one in whole], pa.int64()),
+                    pa.array(whole, pa.binary()),
+                ],
+                names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
+            )
+
+    stretches = stretches.repartition("part", "block", "stretch")
+    crosses = F.exists(
+        F.arrays_zip("begins", "lengths"),
+        lambda doc: (doc["begins"] < F.col("first"))
+        | (doc["begins"] + doc["lengths"] > F.col("first") + F.col("n_ids")),
+    )
+    whole = stretches.where(~crosses).mapInArrow(decode, f"{_DOCS}, at long")
+    pieces = stretches.where(crosses).mapInArrow(decode, f"{_DOCS}, at long")
+    joined = pieces.groupBy("doc_id", "start", "n_tokens").agg(
+        F.collect_list(F.struct("at", "ids")).alias("pieces")
     )
+    return whole.drop("at").unionByName(joined.mapInArrow(join, _DOCS))
