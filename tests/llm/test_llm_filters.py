@@ -451,3 +451,24 @@ def test_windows_keep_budget_history_and_system_turn(spark):
             assert w["formatted"][: s["start"]].endswith("<|im_start|>assistant\n")
             assert w["formatted"][s["end"] :].startswith("<|im_end|>\n")
     assert any(w["n_history"] for w in windows)
+
+
+def test_large_system_turns_are_shown_once_and_no_window_exceeds_the_budget(spark):
+    made = [(1, 0, "system", "rule " * 600)] + [(1, k, "user" if k % 2 else "assistant", "w " * 20) for k in range(1, 21)]
+    made += [(2, 0, "system", "rule " * 60)] + [(2, k, "user" if k % 2 else "assistant", "w " * 90) for k in range(1, 21)]
+    made += [(3, k, "system", "rule " * 100) for k in range(5)] + [(4, 0, "user", "w " * 900), (4, 1, "assistant", "w")]
+    docs = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
+    windows = chat_windows.format_windows(docs).orderBy("conv_id", "window").collect()
+    for w in windows:
+        alone = w["n_new"] == 1 and w["n_history"] == 0
+        assert w["tokens"] <= chat_windows.BUDGET or alone
+    of = {conv: [w for w in windows if w["conv_id"] == conv] for conv in range(1, 5)}
+    assert {w["n_system"] for w in of[1]} == {0} and sum("rule" in w["formatted"] for w in of[1]) == 1
+    assert sum(w["tokens"] for w in of[1]) < 2 * (604 + 20 * 24)
+    assert {w["n_system"] for w in of[2]} == {1} and all("rule" in w["formatted"] for w in of[2])
+    assert {w["n_system"] for w in of[3]} == {0}
+    read = {r["conv_id"]: r for r in chat_windows.read_windows(chat_windows.format_windows(docs)).collect()}
+    for conv in range(1, 5):
+        wanted = [(r, t) for c, _, r, t in made if c == conv]
+        assert [(t["role"], t["text"]) for t in read[conv]["turns"]] == wanted
+        assert read[conv]["loss_texts"] == [t for r, t in wanted if r == "assistant"]

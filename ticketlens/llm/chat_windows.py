@@ -88,8 +88,10 @@ def format_windows(
     empty table gives no window. ``loss`` lists the spans of ``formatted``, in code points with an
     exclusive end, that are trained on. ``tokens`` is a count per turn, by default
     :func:`count_tokens` of the text plus 4 for the markers. The leading turns of role ``system`` are
-    repeated in every window. A turn that is larger than what the budget leaves gets a window of its own
-    without history.
+    repeated in every window, if they take no more than half of what the history leaves of the budget.
+    Larger ones are turns like any other: they are shown once, ``n_system`` is 0, and repeating them
+    cannot multiply the output. A turn that is larger than what the budget leaves gets a window of its
+    own without history; no other window exceeds the budget.
     """
     if not 0 <= history < budget:
         raise ValueError("history must be smaller than the budget")
@@ -116,6 +118,9 @@ def format_windows(
     convs = convs.withColumn(
         "n_system", F.when(lead == 0, F.size("turns")).otherwise(lead - 1).cast("int")
     )
+    leading = F.coalesce(F.get("turns", F.col("n_system") - 1)["until"], F.lit(0).cast("long"))
+    repeated = leading <= F.lit((budget - history) // 2)
+    convs = convs.withColumn("n_system", F.when(repeated, F.col("n_system")).otherwise(0))
     convs = convs.select(
         "conv_id",
         "n_system",
@@ -133,7 +138,7 @@ def format_windows(
         "system_tokens",
         F.aggregate("system", F.lit(0).cast("long"), lambda n, t: n + t["tokens"]),
     )
-    room = F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.col("system_tokens"))
+    room = F.lit(budget - history).cast("long") - F.col("system_tokens")
     convs = convs.withColumn("cuts", _cuts(F.col("body"), room))
     windows = convs.select(
         "*", F.posexplode(F.col("cuts")).alias("window", "first")
