@@ -472,3 +472,69 @@ def test_large_system_turns_are_shown_once_and_no_window_exceeds_the_budget(spar
         wanted = [(r, t) for c, _, r, t in made if c == conv]
         assert [(t["role"], t["text"]) for t in read[conv]["turns"]] == wanted
         assert read[conv]["loss_texts"] == [t for r, t in wanted if r == "assistant"]
+
+
+def plain_windows(turns, budget, history):
+    """(window, turns shown, of them repeated) of one conversation's (role, text, tokens), one after the other."""
+    span = chat_windows.SLICE * budget
+    before = [sum(t[2] for t in turns[:k]) for k in range(len(turns) + 1)]
+    lead = next((k for k, t in enumerate(turns) if t[0] != "system"), len(turns))
+    lead = lead if before[lead] <= (budget - history) // 2 else 0
+    room = budget - history - before[lead]
+    found, first = [], lead
+    for k in range(lead, len(turns) + 1):
+        ends = k == len(turns) or (
+            k > first and (before[k + 1] - before[first] > room or before[k] // span != before[first] // span)
+        )
+        if ends:
+            fits = before[k] - before[first] <= room
+            back = first
+            while fits and back > lead and before[back - 1] >= before[first] - history:
+                back -= 1
+            number = 0 if not found else before[first] // span * span
+            while any(f[0] == number for f in found):
+                number += 1
+            found.append((number, turns[:lead] + turns[back:k], (lead if found else 0) + first - back))
+            first = k
+    return found
+
+
+def test_a_conversation_of_a_third_of_all_rows_is_formatted_in_slices(spark):
+    rng = random.Random(5)
+    made = []
+    for k in range(1500):
+        role = "system" if k < 2 else rng.choice(["user", "assistant", "system"])
+        made.append((7, k if k > 1 else k - 5, role, "w " * rng.randint(0, 6) + f"<|{k}"))
+    made[700] = (7, 700, "assistant", "w " * 9000)  # larger than two slices
+    made += [(None, None, "assistant", "same")] * 1500 + [(None, None, "user", "s" * 70 + str(k)) for k in range(9)]
+    made += [(100 + k // 3, k % 3, "user", f"x {k}") for k in range(1500)]
+    budget, history = 24, 8
+    docs = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
+    convs = defaultdict(list)
+    for conv, turn, role, text in made:
+        convs[conv].append((-9 if turn is None else turn, role, text))
+    counts = {}
+    for parts in (2, 13):
+        windows = chat_windows.format_windows(docs.repartition(parts), budget=budget, history=history)
+        got = defaultdict(list)
+        for w in windows.orderBy("conv_id", "window").collect():
+            got[w["conv_id"]].append((w["window"], w["formatted"], w["n_history"] + (w["window"] > 0) * w["n_system"]))
+        assert set(got) == set(convs)
+        for conv, turns in convs.items():
+            turns = [(r, t, 4 + len(re.findall(r"[^\W_]+|[^\sa-z0-9]", t))) for _, r, t in sorted(turns)]
+            wanted = [
+                (n, "".join(f"<|im_start|>{r}\n{t.replace('<|', '<' + chr(92) + '|')}<|im_end|>\n" for r, t, _ in shown), old)
+                for n, shown, old in plain_windows(turns, budget, history)
+            ]
+            assert got[conv] == wanted
+            counts[conv] = len(wanted)
+    assert counts[7] > 300 and max(n for n, _, _ in got[7]) > 2 * chat_windows.SLICE * budget
+    each = chat_windows.read_each(windows).where("conv_id = 7")
+    assert each.agg(F.sum(F.size("turns"))).first()[0] == 1500
+    assert each.agg(F.max(F.size("turns"))).first()[0] < 20
+
+
+def test_no_step_before_the_slices_gathers_turns(spark):
+    docs = spark.createDataFrame(conversation_rows(), "conv_id long, turn long, role string, text string")
+    plan = chat_windows.format_windows(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and "slice#" in plan
