@@ -208,6 +208,17 @@ def test_no_training_rows_and_no_rows(spark):
     assert katz_lm.score(empty(spark), F.lit(False)).count() == 0
 
 
+def test_buckets_follow_the_input_and_the_table_goes(spark, monkeypatch):
+    made = [(i, t) for i, t, _ in rows()]
+    texts = spark.createDataFrame(made, "doc_id long, text string")
+    size = sum(len((t or "").encode()) for _, t in made)
+    monkeypatch.setattr(katz_lm, "BUCKET_BYTES", size // 5)
+    assert katz_lm._buckets(texts) in (5, 6) and katz_lm._buckets(texts.limit(0)) == 1
+    held = language_id.held_out(F.col("doc_id"), 10)
+    check(katz_lm.score(texts.repartition(7), held, 500).collect(), made, Katz([t for i, t in made if not in_fold(i, 10)]))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("katz_")]
+
+
 def test_discounts_fall_back_on_odd_counts():
     assert katz_lm.discounts([0, 0, 0, 0, 0, 0])[1:6].tolist() == [(r - 0.5) / r for r in range(1, 6)]
     for times in ([100, 40, 20, 12, 8, 5], [5, 9, 1, 0, 3, 2], [3, 3, 3, 3, 3, 3]):

@@ -36,6 +36,8 @@ TRUSTED = 5
 PER_PART = 1 << 20
 #: Bytes of text in a chunk, or one text if it is longer; a task holds one chunk at a time.
 CHUNK_BYTES = 4 << 20
+#: Bytes of text for each bucket of chunks; a bucket is one task's share when chunks meet their answers.
+BUCKET_BYTES = 16 << 20
 
 _UNKNOWN, _START, _FIRST = 0, 1, 2
 _END_HASH = 0  # the end is a word of its own; no word hashes to it but by a chance of 1 in 2 ** 64
@@ -428,9 +430,16 @@ _SCORES = """doc_id long, held_out boolean, n_tokens long, n_known long, train_t
 base_score double, score double"""
 
 
-def _per_chunk(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """A chunk's answers in one row; their size is bounded by that of the chunk."""
-    return rows.groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias(name))
+def _buckets(docs: DataFrame) -> int:
+    """As many buckets of chunks as the texts fill, up to the number that the session allows."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    allowed = int(docs.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(1, -(-size // BUCKET_BYTES)), allowed)
+
+
+def _per_chunk(rows: DataFrame, columns: list[str], name: str, buckets: int) -> DataFrame:
+    """A chunk's answers in one row, where the chunk's bucket is; their size is bounded by that of the chunk."""
+    return rows.repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def score(docs: DataFrame, held_out: Column, per_part: int = PER_PART) -> DataFrame:
@@ -444,18 +453,26 @@ def score(docs: DataFrame, held_out: Column, per_part: int = PER_PART) -> DataFr
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "katz")
-    n_tables = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(docs)
     table = f"katz_{uuid.uuid4().hex}"
     # chunks lie in buckets, so that answers come to them and they never move
     docs.select("doc_id", "text", F.coalesce(held_out, F.lit(True)).alias("held_out")).mapInArrow(
         _read_chunks, _CHUNKS
     ).write.option("path", scratch.path("chunks")).option("compression", "uncompressed").bucketBy(
-        n_tables, "chunk"
+        buckets, "chunk"
     ).sortBy("chunk").saveAsTable(table)
-    chunks = spark.table(table)
+    try:
+        return _scored(spark.table(table), scratch, buckets, per_part)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        scratch.drop("chunks")
+
+
+def _scored(chunks: DataFrame, scratch: Scratch, buckets: int, per_part: int) -> DataFrame:
+    """Learns from the chunks and scores them; the scores are written, so that the chunks can go."""
     size = chunks.agg(F.sum("n_tokens"), F.sum("n_learned")).first()
     if size[0] is None:
-        return spark.createDataFrame([], _SCORES)
+        return chunks.sparkSession.createDataFrame([], _SCORES)
     parts, learned_docs = max(1, -(-size[0] // per_part)), int(size[1])
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(
@@ -473,7 +490,7 @@ def score(docs: DataFrame, held_out: Column, per_part: int = PER_PART) -> DataFr
     ).first()
     unigrams = Unigrams(sums[0], sums[1], [int(n) for n in sums[2:]])
 
-    numbered = chunks.join(_per_chunk(word_table, ["part", "numbers", "totals"], "answers"), "chunk")
+    numbered = chunks.join(_per_chunk(word_table, ["part", "numbers", "totals"], "answers", buckets), "chunk")
     pairs = numbered.select(
         "chunk", "tokens", "words", "lengths", "learned", "answers"
     ).mapInArrow(_ask_pairs(parts, learned_docs, per_part), _PAIRS)
@@ -486,7 +503,7 @@ def score(docs: DataFrame, held_out: Column, per_part: int = PER_PART) -> DataFr
     ).first()
     factor = discounts([int(n or 0) for n in times])
 
-    answers = _per_chunk(bigrams, ["part", "totals", "events", "rare", "known"], "pair_answers")
+    answers = _per_chunk(bigrams, ["part", "totals", "events", "rare", "known"], "pair_answers", buckets)
     ready = numbered.join(answers, "chunk", "left")
     wide = bigrams.select(F.explode("sums").alias("one")).groupBy("one.context").agg(
         F.sum("one.events").alias("events"),
@@ -499,8 +516,13 @@ def score(docs: DataFrame, held_out: Column, per_part: int = PER_PART) -> DataFr
         asking.join(held, "part").select("chunk", "context").distinct().join(wide, "context"),
         ["context", "events", "rare", "known"],
         "wide_sums",
+        buckets,
     )
     ready = ready.join(wide_sums, "chunk", "left")
-    return ready.select(
+    scored = ready.select(
         "doc_ids", "tokens", "words", "lengths", "learned", "answers", "pair_answers", "wide_sums"
     ).mapInArrow(_score(parts, learned_docs, per_part, unigrams, factor), _SCORES)
+    scores = scratch.write(scored, "scores")
+    for done in ("words", "bigrams"):
+        scratch.drop(done)
+    return scores
