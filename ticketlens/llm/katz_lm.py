@@ -37,7 +37,7 @@ PER_PART = 1 << 20
 #: Bytes of text in a chunk, or one text if it is longer; a task holds one chunk at a time.
 CHUNK_BYTES = 4 << 20
 #: Bytes of text for each bucket of chunks; a bucket is one task's share when chunks meet their answers.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 _UNKNOWN, _START, _FIRST = 0, 1, 2
 _END_HASH = 0  # the end is a word of its own; no word hashes to it but by a chance of 1 in 2 ** 64
@@ -140,7 +140,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
     """The rows of each part, from batches that are sorted by part."""
     held: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _one_by_one(batch):
             if held and held[0]["part"] != row["part"]:
                 yield held
                 held = []
@@ -149,10 +149,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, of which only one at a time is copied to Python values."""
+    for n in range(batch.num_rows):
+        yield batch.slice(n, 1).to_pylist()[0]
+
+
 def _ask_words(parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 hashes, counts = _unpack(row["words"], "<u8"), _unpack(row["counts"], "<u4")
                 order, found, begin = _by_part(_word_part(hashes, parts))
                 spans = [order[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
@@ -246,7 +252,7 @@ class _Chunk:
 def _ask_pairs(parts: int, learned_docs: int, per_part: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 chunk = _Chunk(row, parts, learned_docs, per_part)
                 if not len(chunk.pair):
                     continue
@@ -382,7 +388,7 @@ def _score(parts: int, learned_docs: int, per_part: int, unigrams: Unigrams, pai
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = unigrams.total + 0.1 * (unigrams.types + 1)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 chunk = _Chunk(row, parts, learned_docs, per_part)
                 value = np.log10(unigrams(chunk.count))
                 if len(chunk.pair):
