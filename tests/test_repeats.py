@@ -45,7 +45,7 @@ def test_single_tickets_are_neither_ordered_nor_shuffled(spark):
         *[(F.concat(F.lit("TKT"), "id") if c == "ticket_id" else F.lit(v)).alias(c) for c, v in GOOD.items()]
     )
     rows = many.select(*STAGE_COLUMNS).unionByName(stage_rows(spark, {"ticket_id": "TKT7"}, {"ticket_id": " TKT8 "}))
-    for made, n in ((cleaning.dedupe_tickets(rows), 3000),):
+    for made, n in ((cleaning.dedupe_tickets(rows), 3000), (cleaning.strict_clean(rows), 3001)):
         plan = plan_of(made, "simple")
         assert made.count() == n
         assert "Union" in plan and "BroadcastHashJoin" in plan and plan.index("Union") < plan.index("Exchange")
