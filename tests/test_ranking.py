@@ -108,3 +108,11 @@ def test_tile_sizes_by_count(spark, n, tiles):
     got = {r["tile"]: r["rows"] for r in ranking.tile_sizes(spark.range(n), tiles).collect()}
     dealt = spark.range(n).select(F.ntile(tiles).over(Window.orderBy("id")).alias("tile"))
     assert got == {r["tile"]: r["count"] for r in dealt.groupBy("tile").count().collect()}
+
+
+def test_no_two_slices_meet_in_one_task(spark):
+    df = entities(spark, [float(i) for i in range(4000)])
+    order = [F.col("score").desc(), F.col("id").asc()]
+    rows, _ = ranking._ranks_in_slices(df, "score", order, 4)
+    tasks = rows.select("_slice", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == len({r["task"] for r in tasks}) == 8

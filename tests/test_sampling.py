@@ -168,3 +168,21 @@ def test_clip_and_union(spark):
     clipped = columns.clip_values(df, {"x": (0.3, 23.9)})
     assert [r["x"] for r in clipped.collect()] == [0.3, 5.0, 23.9, None]
     assert columns.union_all(df, df).count() == 8
+
+
+def test_places_are_given_where_the_slices_are_sorted(spark, monkeypatch):
+    """Rows are shuffled once, and no window brings several slices into one task."""
+    from ticketlens.operators import ranking
+
+    monkeypatch.setattr(ranking, "SLICE_ROWS", 100)
+    rows = spark.range(3000).select(F.concat(F.lit("K"), "id").alias("k"))
+    placed = sampling.shuffled(rows, "k", 5)
+    assert "row_number" not in plan_of(placed)
+    got = [r["k"] for r in sorted(placed.collect(), key=lambda r: r["position"])]
+    assert got == [r["k"] for r in rows.orderBy(sampling.hash_text("k", 5)).collect()]
+    assert [r["position"] for r in placed.orderBy("position").collect()] == list(range(1, 3001))
+    assert len({f.rpartition("/part-")[2][:5] for f in slices_of(placed)}) == 30
+
+
+def slices_of(placed):
+    return [f for f in placed.inputFiles() if "/slices-" in f]
