@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import STAGE_COLUMNS, Rules
+from .shared import slice_of, slices_of
 
 TIEBREAK = ("l_partkey", "l_suppkey", "l_extendedprice")
 CHANNELS = ("HIGH", "LOW", "MEDIUM", "NOT SPECIFIED", "URGENT")
@@ -51,12 +52,19 @@ def _planted(column: Column, *defects: tuple[Column, object]) -> Column:
     return chain.otherwise(column)
 
 
-def mapped_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The export in slices of its orders, as many as the size of the line items and orders asks for."""
+    n = slices_of(spark, *[f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")])
+    return [mapped_stage(spark, sf_dir, k, n) for k in range(n)]
+
+
+def mapped_stage(spark: SparkSession, sf_dir: str, k: int = 0, slices: int = 1) -> DataFrame:
     """The eleven text columns of the export, and three keys that order copies of a ticket.
 
     The small dimensions are joined to each other first. Line items and orders both grow with the
     data, so neither is ever broadcast: they are sorted and merged, and hot keys are split at run
-    time. The other sides are left to Spark's size threshold.
+    time. The other sides are left to Spark's size threshold. Where that has line items shuffled by part and by
+    supplier too, the short texts come first and the long name last, so that the least is moved.
     """
 
     def read(name: str) -> DataFrame:
@@ -73,15 +81,15 @@ def mapped_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("c_custkey", "r_name")
     )
     requests = (
-        read("orders")
+        slice_of(read("orders"), F.col("o_orderkey"), k, slices)
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "o_custkey", "o_orderpriority", "r_name")
     )
     rows = (
-        read("lineitem")
+        slice_of(read("lineitem"), F.col("l_orderkey"), k, slices)
+        .join(read("part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
         .join(requests.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(read("part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
 
     order_slot = F.col("l_orderkey") % 97
