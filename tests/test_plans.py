@@ -213,3 +213,16 @@ def test_results_hold_on_hot_keys(spark, skewed_stage):
     assert quality.orphans(tickets, customers.where("customer_id <> 'CU0'"), agents).first()[0] == sum(
         r["customer_id"] == "CU0" for r in first.values()
     )
+
+
+def test_tickets_are_not_shuffled_to_mark_few_orphans(spark, star):
+    """Tickets are larger than the threshold, their unknown keys are not."""
+    rows, customers, agents = star.tickets, star.customers, star.agents
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "8KB")
+    try:
+        found = quality.orphans(rows, customers.where("customer_id <> 'CU7'"), agents)
+        assert "SortMergeJoin" not in plan_of(found, "simple")
+        assert found.first()[0] == rows.where("customer_id = 'CU7'").count() > 0
+    finally:
+        spark.conf.set(name, before)
